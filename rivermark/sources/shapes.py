@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivermark.sources.streams import file_stream
+
 CATEGORY_OF = {"purchase": "ecommerce", "view": "navegacao", "signup": "autenticacao"}
 OTHER_CATEGORY = "interacao"
 
@@ -18,6 +20,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def table_stream(
+    spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """The same table as a stream of its files.
+
+    The pattern names the table exactly; a file source takes a single file by
+    pattern only.
+    """
+    schema = table(spark, folder, name).schema
+    return file_stream(spark, f"{folder}/{name}.parque[t]", schema, files_per_batch=files_per_batch)
+
+
 def numbered(prefix: str, column: str) -> Column:
     return F.concat(F.lit(prefix), F.col(column))
 
@@ -39,21 +53,15 @@ def event_columns(source: DataFrame, *extra: Column) -> DataFrame:
     )
 
 
-def events(spark: SparkSession, folder: str) -> DataFrame:
-    return event_columns(table(spark, folder, "events"))
-
-
-def events_with_metadata(spark: SparkSession, folder: str) -> DataFrame:
+def events_with_metadata(source: DataFrame) -> DataFrame:
     """The variant whose events carry a JSON object."""
-    return event_columns(table(spark, folder, "events"), F.col("props").alias("metadata"))
+    return event_columns(source, F.col("props").alias("metadata"))
 
 
-def stored_events(spark: SparkSession, folder: str) -> DataFrame:
+def stored_events(source: DataFrame) -> DataFrame:
     """Event rows with a processing time some seconds after the event."""
     delay = F.make_dt_interval(secs=F.pmod(F.col("event_id") * 7, F.lit(300)))
-    return event_columns(
-        table(spark, folder, "events"), (F.col("ts") + delay).alias("processado_em")
-    )
+    return event_columns(source, (F.col("ts") + delay).alias("processado_em"))
 
 
 def _hours_after(start: Column, hours: Column) -> Column:
@@ -64,9 +72,9 @@ def _nothing(kind: str, *names: str) -> list[Column]:
     return [F.lit(None).cast(kind).alias(n) for n in names]
 
 
-def leads(spark: SparkSession, folder: str) -> DataFrame:
-    customer = table(spark, folder, "customer")
-    nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
+def leads(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """One lead per customer; adaptive execution broadcasts the nations when small."""
+    names = nation.select("n_nationkey", "n_name")
     score = F.least(
         F.lit(100), F.greatest(F.lit(0), F.floor((F.col("c_acctbal") + 1000) / 110).cast("int"))
     )
@@ -82,7 +90,7 @@ def leads(spark: SparkSession, folder: str) -> DataFrame:
     first_day = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     email = F.lower(F.replace("c_name", F.lit("#"), F.lit("")))
     rows = (
-        customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
+        customer.join(names, customer.c_nationkey == names.n_nationkey, "left")
         .withColumn("score", score)
         .withColumn("origem", origin)
         .withColumn("created_at", _hours_after(first_day, F.pmod("c_custkey", F.lit(720)).cast("int")))
@@ -108,9 +116,8 @@ def leads(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def sessions(spark: SparkSession, folder: str) -> DataFrame:
+def sessions(orders: DataFrame) -> DataFrame:
     """One chat session per order, of the lead behind its customer."""
-    orders = table(spark, folder, "orders")
     messages = F.pmod("o_orderkey", F.lit(20)).cast("int")
     third = F.pmod("o_orderkey", F.lit(3))
     active = F.col("o_orderstatus") == "O"
