@@ -21,18 +21,28 @@ def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     return messages.select(F.col(value).cast("string").alias("json_data"))
 
 
-def kind(raw: str = "json_data") -> Column:
-    """The record kind a message states, null when it states none.
+def detect(texts: DataFrame, raw: str = "json_data") -> DataFrame:
+    """Adds ``tipo_evento``, the kind a message states, null when it states none.
 
-    Parses one field only, so routing can filter before the full parse.
+    Reads one field only, so routing can filter before the full parse.
     """
-    return F.from_json(raw, "tipo_evento string")["tipo_evento"]
+    return texts.select("*", _fields(raw, "tipo_evento string"))
 
 
 def parse(texts: DataFrame, schema: str, raw: str = "json_data", keep_raw: bool = False) -> DataFrame:
     """Fields of the JSON text as columns; unknown keys are ignored."""
-    parsed = texts.withColumn("record", F.from_json(raw, schema))
-    return parsed.select("record.*", raw) if keep_raw else parsed.select("record.*")
+    kept = [raw] if keep_raw else []
+    return texts.select(_fields(raw, schema), *kept)
+
+
+def _fields(raw: str, schema: str) -> Column:
+    """The record's fields as columns, one row per text.
+
+    As a generator and not ``select("record.*")``: a filter on a parsed field
+    would be pushed below that projection with a copy of from_json for every
+    field it reads, and the text parsed as often.
+    """
+    return F.inline(F.array(F.from_json(raw, schema)))
 
 
 def unparsed(columns: list[str]) -> Column:

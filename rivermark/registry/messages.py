@@ -77,8 +77,7 @@ def parsed_events(d: Data):
     UNION ALL SELECT 'chat_message', count(*) FROM conversations""",
 )
 def detected_kinds(d: Data):
-    kinds = payload.decode(mixed_messages(d)).select(payload.kind().alias("tipo_evento"))
-    return groups.counts(kinds, "tipo_evento")
+    return groups.counts(payload.detect(payload.decode(mixed_messages(d))), "tipo_evento")
 
 
 @query(

@@ -61,7 +61,7 @@ def routed(texts: DataFrame) -> DataFrame:
         .when(kind == schemas.SESSION_TAG, "sessions")
         .otherwise("unknown")
     )
-    return texts.withColumn("tipo_evento", payload.kind()).withColumn("route", route)
+    return payload.detect(texts).withColumn("route", route)
 
 
 def parsed(routed_texts: DataFrame, name: str, zone: str | None = None) -> DataFrame:
