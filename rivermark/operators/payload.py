@@ -29,20 +29,31 @@ def detect(texts: DataFrame, raw: str = "json_data") -> DataFrame:
     return texts.select("*", _fields(raw, "tipo_evento string"))
 
 
-def parse(texts: DataFrame, schema: str, raw: str = "json_data", keep_raw: bool = False) -> DataFrame:
-    """Fields of the JSON text as columns; unknown keys are ignored."""
+def parse(
+    texts: DataFrame,
+    schema: str,
+    raw: str = "json_data",
+    keep_raw: bool = False,
+    zone: str | None = None,
+) -> DataFrame:
+    """Fields of the JSON text as columns; unknown keys are ignored.
+
+    ``zone`` is the producers' zone, for times without an offset; by default
+    they are read in the session's zone.
+    """
     kept = [raw] if keep_raw else []
-    return texts.select(_fields(raw, schema), *kept)
+    return texts.select(_fields(raw, schema, zone), *kept)
 
 
-def _fields(raw: str, schema: str) -> Column:
+def _fields(raw: str, schema: str, zone: str | None = None) -> Column:
     """The record's fields as columns, one row per text.
 
     As a generator and not ``select("record.*")``: a filter on a parsed field
     would be pushed below that projection with a copy of from_json for every
     field it reads, and the text parsed as often.
     """
-    return F.inline(F.array(F.from_json(raw, schema)))
+    options = {} if zone is None else {"timeZone": zone}
+    return F.inline(F.array(F.from_json(raw, schema, options)))
 
 
 def unparsed(columns: list[str]) -> Column:
@@ -59,9 +70,9 @@ def processed(df: DataFrame) -> DataFrame:
     return df.withColumn("processado_em", F.current_timestamp())
 
 
-def events(messages: DataFrame, value: str = "value") -> DataFrame:
+def events(messages: DataFrame, value: str = "value", zone: str | None = None) -> DataFrame:
     """Messages to event rows with processing time."""
-    return processed(parse(decode(messages, value), schemas.EVENT))
+    return processed(parse(decode(messages, value), schemas.EVENT, zone=zone))
 
 
 def tagged(df: DataFrame, tag: str, processed_at: Column | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from rivermark.sinks import files
 from rivermark.streaming.router import (
     Sink,
     accepted,
-    parsed,
+    checked,
     rejected,
     routed,
     write_all,
@@ -55,13 +55,17 @@ def start(
     return writer.trigger(**(trigger or {"processingTime": "1 minute"})).start()
 
 
-def stored_event_rows(messages: DataFrame) -> DataFrame:
+def stored_event_rows(messages: DataFrame, zone: str | None = None) -> DataFrame:
     """Untagged messages as typed rows with their broken rules."""
-    return parsed(routed(payload.decode(messages)), "events")
+    return checked(routed(payload.decode(messages), zone), "events")
 
 
 def start_raw_and_documents(
-    messages: DataFrame, sinks: Mapping[str, Sink], checkpoints: str, trigger=None
+    messages: DataFrame,
+    sinks: Mapping[str, Sink],
+    checkpoints: str,
+    trigger=None,
+    zone: str | None = None,
 ) -> StreamingQuery:
     """Raw table and document index from one read and one parse.
 
@@ -81,7 +85,7 @@ def start_raw_and_documents(
         finally:
             rows.unpersist()
 
-    return start(stored_event_rows(messages), "eventos_raw", write, checkpoints, trigger)
+    return start(stored_event_rows(messages, zone), "eventos_raw", write, checkpoints, trigger)
 
 
 def windowed(
@@ -97,9 +101,14 @@ def windowed(
 
 
 def start_windows(
-    messages: DataFrame, sink: Sink, checkpoints: str, trigger=None, scale: int | None = None
+    messages: DataFrame,
+    sink: Sink,
+    checkpoints: str,
+    trigger=None,
+    scale: int | None = None,
+    zone: str | None = None,
 ) -> StreamingQuery:
-    rows = accepted(stored_event_rows(messages))
+    rows = accepted(stored_event_rows(messages, zone))
     stats = payload.processed(windowed(rows.drop("processado_em"), scale=scale))
     return start(stats, "eventos_agregados", sink, checkpoints, trigger)
 

@@ -14,15 +14,32 @@ from rivermark.operators import payload, quality
 
 Sink = Callable[[DataFrame, str, int], None]
 
-LEAD_FIELDS = [f.strip().split()[0] for f in schemas.LEAD.split(",")]
-SESSION_FIELDS = [f.strip().split()[0] for f in schemas.SESSION.split(",")]
-EVENT_FIELDS = [f.strip().split()[0] for f in schemas.EVENT.split(",")]
+
+def _fields(schema: str) -> dict[str, str]:
+    """Names and types of a DDL text whose types hold no comma."""
+    return dict(part.split(maxsplit=1) for part in schema.split(","))
+
+
+EVENT_FIELDS = list(_fields(schemas.EVENT))
+LEAD_FIELDS = list(_fields(schemas.LEAD))
+SESSION_FIELDS = list(_fields(schemas.SESSION))
+
+# Every kind's fields in one schema. They share only the id, which is text in
+# all, so one parse serves whichever kind the message turns out to be.
+ANY_KIND = ", ".join(
+    f"{name} {kind}"
+    for name, kind in (
+        _fields(schemas.EVENT)
+        | _fields(schemas.LEAD)
+        | _fields(schemas.SESSION)
+        | {"tipo_evento": "string"}
+    ).items()
+)
 
 
 class Branch(NamedTuple):
-    """How one kind of record is parsed, completed and checked."""
+    """How one kind of record is completed and checked."""
 
-    schema: str
     fields: list[str]
     times: list[str]
     defaults: Mapping[str, object]
@@ -32,9 +49,8 @@ class Branch(NamedTuple):
 
 def branches() -> dict[str, Branch]:
     return {
-        "events": Branch(schemas.EVENT, EVENT_FIELDS, [], {}, [], quality.event_rules()),
+        "events": Branch(EVENT_FIELDS, [], {}, [], quality.event_rules()),
         "leads": Branch(
-            schemas.LEAD,
             LEAD_FIELDS,
             schemas.LEAD_TIMES,
             schemas.LEAD_DEFAULTS,
@@ -42,7 +58,6 @@ def branches() -> dict[str, Branch]:
             quality.lead_rules(),
         ),
         "sessions": Branch(
-            schemas.SESSION,
             SESSION_FIELDS,
             schemas.SESSION_TIMES,
             schemas.SESSION_DEFAULTS,
@@ -52,8 +67,11 @@ def branches() -> dict[str, Branch]:
     }
 
 
-def routed(texts: DataFrame) -> DataFrame:
-    """Adds ``route`` to ``json_data``; untagged messages are events."""
+def routed(texts: DataFrame, zone: str | None = None) -> DataFrame:
+    """Parsed messages with their ``route``; untagged messages are events.
+
+    ``zone`` is the producers' zone, for event times without an offset.
+    """
     kind = F.col("tipo_evento")
     route = (
         F.when(kind.isNull(), "events")
@@ -61,19 +79,17 @@ def routed(texts: DataFrame) -> DataFrame:
         .when(kind == schemas.SESSION_TAG, "sessions")
         .otherwise("unknown")
     )
-    return payload.detect(texts).withColumn("route", route)
+    return payload.parse(texts, ANY_KIND, keep_raw=True, zone=zone).withColumn("route", route)
 
 
-def parsed(routed_texts: DataFrame, name: str, zone: str | None = None) -> DataFrame:
+def checked(marked: DataFrame, name: str, zone: str | None = None) -> DataFrame:
     """Typed rows of one route with their text and broken rules.
 
-    The route filter runs on the one-field parse, the full parse only on the
-    rows it lets through. ``zone`` is the producers' zone for lead and session
-    times without an offset.
+    ``zone`` is the producers' zone for lead and session times without an
+    offset.
     """
     branch = branches()[name]
-    texts = routed_texts.where(F.col("route") == name).select("json_data")
-    rows = payload.parse(texts, branch.schema, keep_raw=True)
+    rows = marked.where(F.col("route") == name).select("json_data", *branch.fields)
     rows = rows.withColumn("no_record", payload.unparsed(branch.fields))
     # A time that is stated but does not parse is a broken row, not an absent time.
     bad_times = [
@@ -99,12 +115,9 @@ def rejected(rows: DataFrame) -> DataFrame:
     return quality.quarantined(rows).select("json_data", "violations")
 
 
-def parsed_routes(marked: DataFrame, zone: str | None = None) -> dict[str, DataFrame]:
-    return {name: parsed(marked, name, zone) for name in branches()}
-
-
-def outputs(marked: DataFrame, rows: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def outputs(marked: DataFrame, zone: str | None = None) -> dict[str, DataFrame]:
     """Every message in exactly one frame: a route's rows, unknown, quarantine."""
+    rows = {name: checked(marked, name, zone) for name in branches()}
     frames = {name: accepted(frame) for name, frame in rows.items()}
     frames["unknown"] = marked.where(F.col("route") == "unknown").select("json_data", "tipo_evento")
     frames["quarantine"] = reduce(DataFrame.unionByName, [rejected(f) for f in rows.values()])
@@ -112,8 +125,7 @@ def outputs(marked: DataFrame, rows: Mapping[str, DataFrame]) -> dict[str, DataF
 
 
 def split(texts: DataFrame, zone: str | None = None) -> dict[str, DataFrame]:
-    marked = routed(texts)
-    return outputs(marked, parsed_routes(marked, zone))
+    return outputs(routed(texts, zone), zone)
 
 
 class SinkError(RuntimeError):
@@ -145,13 +157,11 @@ def write_routes(
 ) -> None:
     """Writes one batch of mixed messages to the sinks of its routes.
 
-    The detected kinds and the parsed rows are kept for the batch: rows go to
-    their table and to the quarantine from one read and one parse.
+    The parsed batch is kept while its sinks run: all tables and the
+    quarantine come from one read and one parse.
     """
-    marked = routed(texts).persist()
-    rows = {name: frame.persist() for name, frame in parsed_routes(marked, zone).items()}
+    marked = routed(texts, zone).persist()
     try:
-        write_all(outputs(marked, rows), sinks, query_id, batch_id)
+        write_all(outputs(marked, zone), sinks, query_id, batch_id)
     finally:
-        for frame in (*rows.values(), marked):
-            frame.unpersist()
+        marked.unpersist()

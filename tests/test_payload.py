@@ -104,3 +104,10 @@ def test_token_and_phrase_search(spark):
     assert [r[0] for r in any_word] == ["Compra feita, por Ana"]
     in_order = rows.where(phrase("json_data", "feita por")).collect()
     assert [r[0] for r in in_order] == ["Compra feita, por Ana"]
+
+
+def test_event_time_is_read_in_the_producers_zone(spark):
+    rows = texts(spark, '{"id":"a","timestamp":"2025-12-04T10:00:00"}', '{"id":"b","timestamp":"2025-12-04T10:00:00Z"}')
+    read = payload.parse(rows, schemas.EVENT, zone="America/Sao_Paulo")
+    got = dict(tuple(r) for r in read.select("id", F.col("timestamp").cast("string")).collect())
+    assert got == {"a": "2025-12-04 13:00:00", "b": "2025-12-04 10:00:00"}
