@@ -12,7 +12,7 @@ from rivermark.functions.times import iso_text
 from rivermark.operators import groups, payload
 from rivermark.registry.base import EVENTOS, LEADS, SESSIONS, Data, query, texts
 from rivermark.registry.scans import EVENT_COLUMNS, EVENT_SQL
-from rivermark.streaming import router
+from rivermark.streaming import router, sync
 
 MESSAGE_SQL = """'{"id":"' || id || '","usuario":"' || usuario || '","evento":"' || evento || '","valor":'
     || CAST(valor AS VARCHAR) || ',"timestamp":"' || strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f')
@@ -32,11 +32,11 @@ def event_messages(d: Data) -> DataFrame:
 
 
 def lead_messages(d: Data) -> DataFrame:
-    return payload.to_messages(payload.tagged(d.leads, schemas.LEAD_TAG))
+    return sync.messages(d.leads, schemas.LEAD_TAG)
 
 
 def session_messages(d: Data) -> DataFrame:
-    return payload.to_messages(payload.tagged(d.sessions, schemas.SESSION_TAG))
+    return sync.messages(d.sessions, schemas.SESSION_TAG)
 
 
 def mixed_messages(d: Data) -> DataFrame:

@@ -6,10 +6,11 @@ from collections.abc import Callable, Iterable, Mapping
 from itertools import batched
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, Row
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rivermark.operators import keyed
+from rivermark.sources.tables import read_jdbc
 
 
 def append(df: DataFrame, url: str, table: str, options: Mapping[str, str]) -> None:
@@ -36,6 +37,61 @@ def insert_if_absent(
     return seen.get["inserted"]
 
 
+def within_batch_times(existing: DataFrame, batch: DataFrame, time: str) -> DataFrame:
+    """The stored rows a batch can repeat: those between its first and last time.
+
+    The two times become plain values, so the database and the file reader
+    filter by them. Only usable when ``time`` is part of the key.
+    """
+    first, last = batch.agg(F.min(time), F.max(time)).first()
+    if first is None:
+        return existing.limit(0)
+    return existing.where(F.col(time).between(F.lit(first), F.lit(last)))
+
+
+def keyed_sink(
+    read: Callable[[], DataFrame],
+    write: Callable[[DataFrame], None],
+    keys: list[str],
+    order: list[str] | None = None,
+    time: str | None = None,
+) -> Callable[[DataFrame, str, int], None]:
+    """A stream sink that never inserts a stored key, however often it is replayed.
+
+    Part of a batch may be stored when its write fails half-way; the replay
+    then inserts the rest. The batch is kept while it is looked up and written,
+    so a stateful query runs once per batch.
+    """
+
+    def sink(rows: DataFrame, query_id: str, batch_id: int) -> None:
+        batch = rows.persist()
+        try:
+            existing = read()
+            if time is not None:
+                existing = within_batch_times(existing, batch, time)
+            insert_if_absent(batch, existing, write, keys, order)
+        finally:
+            batch.unpersist()
+
+    return sink
+
+
+def jdbc_sink(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    options: Mapping[str, str],
+    keys: list[str],
+    time: str | None = None,
+) -> Callable[[DataFrame, str, int], None]:
+    return keyed_sink(
+        lambda: read_jdbc(spark, url, table, options),
+        lambda rows: append(rows, url, table, options),
+        keys,
+        time=time,
+    )
+
+
 def upsert_statement(table: str, columns: list[str], keys: list[str], mark: str = "%s") -> str:
     marks = ", ".join([mark] * len(columns))
     changed = [c for c in columns if c not in keys]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rivermark.functions.times import recent
@@ -29,6 +31,13 @@ def pending(
     return keyed.missing(fresh, known, keys)
 
 
-def lead_messages(leads: DataFrame, tag: str, processed_at: Column | None = None) -> DataFrame:
+def messages(rows: DataFrame, tag: str, processed_at: Column | None = None) -> DataFrame:
     """Rows as tagged JSON messages, ready for a publisher."""
-    return payload.to_messages(payload.tagged(leads, tag, processed_at))
+    return payload.to_messages(payload.tagged(rows, tag, processed_at))
+
+
+def send(rows: DataFrame, tag: str, publish: Callable[[DataFrame], None]) -> int:
+    """Publishes rows as tagged messages and returns how many were sent."""
+    sent = Observation("sync")
+    publish(messages(rows, tag).observe(sent, F.count(F.lit(1)).alias("sent")))
+    return sent.get["sent"]
