@@ -59,10 +59,19 @@ class Data:
 
 
 class StreamData(Data):
-    """The same shapes over streams of the tables' files."""
+    """The same shapes over streams of the tables' files.
+
+    ``files_per_batch`` bounds a batch that is kept while it is written. Where
+    event time decides what is late, the files have to come in one batch, as
+    their order is not the order of time.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, files_per_batch: int | None = None):
+        super().__init__(spark, folder)
+        self.files_per_batch = files_per_batch
 
     def table(self, name: str) -> DataFrame:
-        return shapes.table_stream(self.spark, self.folder, name)
+        return shapes.table_stream(self.spark, self.folder, name, self.files_per_batch)
 
 
 EVENTOS = """eventos AS (

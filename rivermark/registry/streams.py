@@ -41,14 +41,13 @@ from rivermark.streaming.progress import progress_rows
 ROUTES = ["events", "leads", "sessions", "unknown", "quarantine"]
 
 
-def _live(d: Data) -> StreamData:
-    return StreamData(d.spark, d.folder)
+FILES_PER_BATCH = 200
 
 
 def _run_events(d: Data, sinks: list[str]) -> tuple[str, object, DataFrame]:
     """Raw rows and documents of one run; the folder, the query, the raw rows' shape."""
     root = shared_folder(d.spark, "event-run")
-    messages = event_messages(_live(d)).select("value")
+    messages = event_messages(StreamData(d.spark, d.folder, FILES_PER_BATCH)).select("value")
     targets = {name: jobs.file_sink(f"{root}/{name}") for name in sinks}
     run = jobs.replay(jobs.start_raw_and_documents, messages, targets, f"{root}/checkpoints")
     shape = router.accepted(jobs.stored_event_rows(messages))
@@ -58,7 +57,7 @@ def _run_events(d: Data, sinks: list[str]) -> tuple[str, object, DataFrame]:
 def _run_router(d: Data, routes: list[str], runs: int = 1) -> dict[str, DataFrame]:
     """Tables of the given routes after running the same checkpoint ``runs`` times."""
     root = shared_folder(d.spark, "router-run")
-    messages = mixed_messages(_live(d))
+    messages = mixed_messages(StreamData(d.spark, d.folder, FILES_PER_BATCH))
     targets = {name: jobs.file_sink(f"{root}/{name}") for name in routes}
     for _ in range(runs):
         jobs.replay(jobs.start_router, messages, targets, f"{root}/checkpoints")
@@ -95,7 +94,7 @@ def routed_leads(d: Data):
 def stream_windows(d: Data):
     """Windows the watermark has closed."""
     root = shared_folder(d.spark, "window-run")
-    messages = event_messages(_live(d)).select("value")
+    messages = event_messages(StreamData(d.spark, d.folder)).select("value")
     sink = jobs.file_sink(f"{root}/windows")
     jobs.replay(jobs.start_windows, messages, sink, f"{root}/checkpoints", scale=AMOUNT_SCALE)
     rows = payload.processed(jobs.windowed(jobs.stored_event_rows(messages), scale=AMOUNT_SCALE))

@@ -1,4 +1,4 @@
-"""Starts the streaming jobs: ``spark-submit rivermark/run.py events ...``.
+"""Starts the streaming jobs: ``PYTHONPATH=. spark-submit rivermark/run.py events ...``.
 
 Rows go to Parquet folders below ``--store``, or to a database with ``--jdbc``;
 documents go to ``--documents`` when it is given. Source and connector jars
@@ -39,6 +39,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
     parser.add_argument("--documents", metavar="HOST:PORT", help="document store")
     parser.add_argument("--zone", help="zone of times without an offset")
+    parser.add_argument("--per-batch", type=int, help="most messages of one batch")
     parser.add_argument("--once", action="store_true", help="take what is there and end")
     return parser.parse_args(argv)
 
@@ -59,7 +60,8 @@ def document_sink(given: argparse.Namespace) -> Sink:
 
 def start(spark: SparkSession, given: argparse.Namespace) -> None:
     starting = given.starting or {"events": "latest", "router": "earliest"}[given.job]
-    messages = message_stream(spark, "kafka", broker_options(given.servers, given.topic, starting))
+    source = broker_options(given.servers, given.topic, starting, given.per_batch)
+    messages = message_stream(spark, "kafka", source)
     trigger = {"availableNow": True} if given.once else None
     quarantine = jobs.file_sink(f"{given.store}/quarentena")
     if given.job == "router":

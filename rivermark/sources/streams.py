@@ -7,17 +7,22 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 
-def broker_options(servers: str, topic: str, starting: str = "latest") -> dict[str, str]:
+def broker_options(
+    servers: str, topic: str, starting: str = "latest", per_batch: int | None = None
+) -> dict[str, str]:
     """Options of a Kafka source.
 
     ``starting`` counts only when the checkpoint is new: "latest" for the
-    event job, "earliest" for the router and for replays.
+    event job, "earliest" for the router and for replays. ``per_batch`` bounds
+    the messages of one batch, so a long backlog is taken in pieces.
     """
+    bound = {} if per_batch is None else {"maxOffsetsPerTrigger": str(per_batch)}
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
         "failOnDataLoss": "false",
+        **bound,
     }
 
 

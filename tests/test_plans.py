@@ -12,7 +12,7 @@ import __spark_entry__ as entry_module
 from conftest import plan_of, rows_of
 from rivermark.functions.times import latest_time
 from rivermark.operators import groups, windows
-from rivermark.plans import audit
+from rivermark.plans import audit, views
 from rivermark.plans import events as event_reports
 from rivermark.plans import leads as lead_reports
 from rivermark.sources import shapes
@@ -160,3 +160,26 @@ def test_hot_lead_meets_the_summary_join_as_one_row(spark):
     # spread over all tasks before one count per lead is built.
     plan = per_lead._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(lead_id" in plan and "partial_count(distinct" in plan
+
+
+def test_views_answer_sql_by_the_clock(spark, data):
+    shift = F.expr("localtimestamp() - TIMESTAMP_NTZ '2024-01-30 23:59:59'")
+    moved = data["events"].withColumn("timestamp", F.col("timestamp") + shift)
+    tables = {"eventos_raw": moved, "leads": data["leads"], "chat_sessions": data["sessions"]}
+    names = views.create_views(tables)
+    assert set(names) == {
+        "eventos_raw", "leads", "chat_sessions", "vw_eventos_ultimas_24h", "vw_eventos_por_hora",
+        "v_leads_qualificados", "v_leads_resumo", "v_sessoes_ativas",
+    }
+    total = spark.sql("SELECT sum(total_eventos) FROM vw_eventos_ultimas_24h").first()[0]
+    day = data["events"].where("timestamp >= TIMESTAMP_NTZ '2024-01-29 23:59:59'").count()
+    assert total == pytest.approx(day, abs=1) and day > 0
+    sql = "SELECT categoria, COUNT(*) AS total FROM eventos_raw GROUP BY categoria ORDER BY total DESC"
+    assert [tuple(r) for r in spark.sql(sql).collect()] == [
+        tuple(r) for r in event_reports.by_category(data["events"]).collect()
+    ]
+    assert spark.table("v_leads_resumo").count() == data["leads"].count()
+    assert spark.table("v_sessoes_ativas").columns[-2:] == ["lead_nome", "lead_email"]
+    assert spark.table("v_leads_qualificados").where("score_qualificacao < 50").isEmpty()
+    for name in names:
+        spark.catalog.dropTempView(name)
