@@ -38,8 +38,12 @@ def matching_fields(
 
 
 def newest(df: DataFrame, n: int | None, by: str, tie: str = "id") -> DataFrame:
-    """The ``n`` newest rows, all of them in order when ``n`` is None."""
-    ranked = df.orderBy(F.desc_nulls_last(by), tie)
+    """The ``n`` newest rows, all of them in order when ``n`` is None.
+
+    Rows without the time come first, as a descending order puts them in the
+    relational store.
+    """
+    ranked = df.orderBy(F.desc_nulls_first(by), tie)
     return ranked if n is None else ranked.limit(n)
 
 

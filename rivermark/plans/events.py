@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rivermark.functions.numbers import mean, total
 from rivermark.functions.text import json_field
-from rivermark.functions.times import AsOf, recent
+from rivermark.functions.times import AsOf, interval, recent
 from rivermark.operators import groups, search
 
 RECENT_COLUMNS = ["id", "usuario", "evento", "valor", "categoria"]
@@ -49,11 +49,11 @@ def recent_by_category(events: DataFrame, as_of: AsOf = None, hours: int = 24) -
 
 
 def top_users(events: DataFrame, n: int = 10, scale: int | None = None) -> DataFrame:
-    """Users with the greatest summed value; users without a value come last."""
+    """Users with the greatest summed value; users without any value come first."""
     per_user = events.groupBy("usuario").agg(
         total("valor", scale).alias("total_valor"), F.count("*").alias("eventos")
     )
-    return per_user.orderBy(F.desc_nulls_last("total_valor"), "usuario").limit(n)
+    return per_user.orderBy(F.desc_nulls_first("total_valor"), "usuario").limit(n)
 
 
 def newest_events(
@@ -102,13 +102,15 @@ def category_by_hour(events: DataFrame) -> DataFrame:
 def count_on_day(events: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Number of events on the day of ``as_of``."""
     kind = events.schema["timestamp"].dataType
-    if isinstance(as_of, DataFrame):
-        moment = F.col(as_of.columns[0])
-        day = as_of.select(F.date_trunc("day", moment).cast(kind).alias("day")).scalar()
-    else:
-        moment = F.current_timestamp() if as_of is None else F.lit(as_of)
-        day = F.date_trunc("day", moment).cast(kind)
-    today = events.where(F.col("timestamp") >= day)
-    if not isinstance(as_of, DataFrame):
-        today = today.where(F.col("timestamp") < day + F.expr("INTERVAL 1 DAY"))
-    return today.agg(F.count("*").alias("total"))
+
+    def midnight(days_later: int) -> Column:
+        def shifted(moment: Column) -> Column:
+            return (F.date_trunc("day", moment) + interval(days=days_later)).cast(kind)
+
+        if isinstance(as_of, DataFrame):
+            return as_of.select(shifted(F.col(as_of.columns[0])).alias("midnight")).scalar()
+        return shifted(F.current_timestamp() if as_of is None else F.lit(as_of))
+
+    time = F.col("timestamp")
+    day = events.where((time >= midnight(0)) & (time < midnight(1)))
+    return day.agg(F.count("*").alias("total"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivermark.functions.times import AsOf, recent
+from rivermark.functions.times import AsOf, cutoff
 from rivermark.operators import keyed
 
 BATCH_COLUMNS = ["consulta", "lote"]
@@ -64,8 +64,8 @@ def retained(
     df: DataFrame, time: str = "timestamp", days: int = 90, as_of: AsOf = None
 ) -> DataFrame:
     """Rows not older than the retention time; null times are kept."""
-    undated = df.where(F.col(time).isNull())
-    return recent(df, time, as_of, days=days).unionByName(undated)
+    limit = cutoff(df, time, as_of, days=days)
+    return df.where((F.col(time) >= limit) | F.col(time).isNull())
 
 
 def drop_old_days(spark: SparkSession, table: str, first_day: str) -> list[str]:

@@ -67,6 +67,25 @@ def test_empty_days_are_filled(spark):
     assert [r.total for r in event_reports.daily_histogram(rows, fill=True).orderBy("periodo").collect()] == [1, 0, 0, 1]
 
 
+def test_null_values_lead_a_descending_order(spark):
+    rows = spark.sql(
+        "SELECT * FROM VALUES ('a', TIMESTAMP '2024-01-01', 'u', 1D), ('b', NULL, 'v', NULL),"
+        " ('c', TIMESTAMP '2024-01-02', 'u', 2D) AS t(id, timestamp, usuario, valor)"
+    )
+    assert [r.id for r in event_reports.newest_events(rows.withColumn("categoria", F.lit("x")), 2).collect()] == ["b", "c"]
+    assert [r.usuario for r in event_reports.top_users(rows).collect()] == ["v", "u"]
+
+
+def test_day_ends_at_the_next_midnight(spark):
+    rows = spark.sql(
+        "SELECT * FROM VALUES (TIMESTAMP '2024-01-01 23:59:59'), (TIMESTAMP '2024-01-02 00:00:00'),"
+        " (TIMESTAMP '2024-01-02 23:59:59'), (TIMESTAMP '2024-01-03 00:00:00'), (NULL) AS t(timestamp)"
+    )
+    frame = spark.sql("SELECT TIMESTAMP '2024-01-02 12:00:00' AS as_of")
+    assert event_reports.count_on_day(rows, frame).first().total == 2
+    assert event_reports.count_on_day(rows, datetime(2024, 1, 2, 12)).first().total == 2
+
+
 def test_terms_leave_out_missing_values(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "x string")
     assert [tuple(r) for r in groups.terms(df, F.col("x")).collect()] == [("a", 2), ("b", 1)]
