@@ -218,3 +218,31 @@ def clean(documents: DataFrame, benchmark: DataFrame, text_column: str = "text")
     """The rows that are not contaminated."""
     rows, found = with_hits(documents, benchmark, text_column)
     return rows.where(~contaminated(found)).drop(found)
+
+
+SQL = r"""
+WITH cut AS (
+    SELECT doc_id, d.rowid AS row, [w FOR w IN regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF w != ''] AS words
+    FROM (SELECT *, row_number() OVER () AS rowid FROM documents) d
+), items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, [w FOR w IN regexp_split_to_array(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF w != ''] AS words
+    FROM benchmark
+), patterns AS (
+    SELECT DISTINCT item, least(13, len(words)) AS size, array_to_string(words[n : n + least(13, len(words)) - 1], ' ') AS window
+    FROM items, unnest(range(1, len(words) - least(13, len(words)) + 2)) AS t(n) WHERE len(words) > 0
+), windows AS (
+    SELECT row, n, s.size, array_to_string(words[n : n + s.size - 1], ' ') AS window
+    FROM cut, (SELECT DISTINCT size FROM patterns) s, unnest(range(1, len(words) - s.size + 2)) AS t(n)
+), found AS (
+    SELECT row, p.item, n, p.size FROM windows w JOIN patterns p ON w.size = p.size AND w.window = p.window
+), hit AS (
+    SELECT row, count(DISTINCT place) AS n_hit FROM found, unnest(range(n, n + size)) AS t(place) GROUP BY row
+), named AS (
+    SELECT row, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM found GROUP BY row
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM cut LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
+"""

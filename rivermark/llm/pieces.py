@@ -18,15 +18,13 @@ and long words included). Null stays null; the empty text has no ids.
 
 Models need byte pieces, no normalisation rules, and marks before words.
 The vocabulary, which is of fixed size, is sent to the executors; texts are encoded row by row
-without a shuffle, and a task keeps ids of at most ``CACHED`` words.
+without a shuffle, and a worker keeps about ``CACHED`` words with their ids and as many tested pairs.
 """
 
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from hashlib import sha256
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +39,15 @@ from rivermark.llm.spans import slices
 MARK = "▁"
 LITERAL = f"{MARK}{MARK}"  # in the place of a word: the character itself
 CUT = re.compile(f" *[^ {MARK}]+| +|{MARK}")
-CACHED = 800_000
+CACHED = 300_000
 NORMAL, BYTE = 1, 6
 UNIGRAM, BPE = 1, 2
 
 
+def escape(characters: set[str]) -> str:
+    return "".join(map(re.escape, sorted(characters)))
+
+
 class Vocabulary:
     """Pieces of a model with scores, byte pieces, and the model's kind."""
 
@@ -62,8 +64,16 @@ class Vocabulary:
         self.unknown = min(self.scores.values(), default=0.0) - 10
         single = {n: bytes([b]) for b, n in byte.items()}
         text = lambda t, sort: t.replace(MARK, " ").encode() if sort == NORMAL else b""
+        letters = {c for t in self.ids for c in t if c.isalpha()}
+        joined = {t[n] for t in self.ids for n in range(1, len(t)) if t[n - 1] in letters}
+        marks = {c for t in self.ids for c in t} - letters - joined - {MARK}
+        self.edge = re.compile(f"(?<=[{escape(letters)}])(?=[{escape(marks)}])") if letters and marks else None
         self.content = [single.get(n, text(t, sort)) for n, (t, _, sort) in enumerate(pieces)]
 
+    def cut(self, word: str) -> list[str]:
+        """Parts that no piece joins: no piece holds such a mark right after a letter."""
+        return self.edge.split(word) if self.edge else [word]
+
     @classmethod
     def read(cls, path: str) -> Vocabulary:
         from sentencepiece import sentencepiece_model_pb2 as format
@@ -88,7 +98,6 @@ class Codec:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.beside = lru_cache(1_000_000)(self._beside)
         self.content = pa.array(vocabulary.content, pa.large_binary())
         self.forget()
 
@@ -96,6 +105,8 @@ class Codec:
         self.known: dict[str, int] = {}
         self.flat: list[np.ndarray] = []
         self.sizes = np.zeros(0, np.int64)
+        self.tested: dict[str, dict[str, bool]] = {}
+        self.tests = 0
 
     def merged(self, text: str) -> list[str]:
         """The BPE merges of a short text: the best pair first, the leftmost of equals."""
@@ -111,37 +122,32 @@ class Codec:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _beside(self, left: str, right: str) -> bool:
+    def beside(self, left: str, right: str) -> bool:
         """Whether BPE leaves the two pieces side by side; ``left`` may be empty."""
-        return self.merged(left + right) == ([left, right] if left else [right])
-
-    def segment(self, words: list[str]) -> list[list[str]]:
-        """Pieces of sorted words. ``size[d]`` is the length of the last piece of the first d characters."""
-        size, score, before, out = [0], [0.0], "", []
-        step = self.last_by_merges if self.vocabulary.kind == BPE else self.last_by_score
-        for word in words:
-            shared = len(commonprefix([before, word]))
-            del size[shared + 1 :], score[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                step(word, end, size, score)
-            parts, end = [], len(word)
-            while end:
-                parts.append(word[end - size[end] : end])
-                end -= size[end]
-            out.append(parts[::-1])
-            before = word
-        return out
+        fits = self.tested.setdefault(left, {})
+        if right not in fits:
+            fits[right] = self.merged(left + right) == ([left, right] if left else [right])
+            self.tests += 1
+        return fits[right]
 
     def last_by_merges(self, word: str, end: int, size: list[int], score: list[float]) -> None:
-        """One piece only fits, so the likely lengths are tried first."""
-        ids, beside = self.vocabulary.ids, self.beside
-        for length in (size[-1] + 1, *range(1, min(end, self.vocabulary.longest) + 1)):
+        """The only piece that fits, so the likely lengths are tried first."""
+        ids, tested = self.vocabulary.ids, self.tested
+        length, tried = size[-1] + 1, 0
+        while True:
             start = end - length
             piece = word[start:end]
-            if (piece in ids or length == 1) and beside(word[start - size[start] : start], piece):
-                size.append(length)
-                return
-        raise AssertionError(f"no segmentation of {word!r}")
+            if piece in ids or length == 1:
+                left = word[start - size[start] : start]
+                try:
+                    fits = tested[left][piece]
+                except KeyError:
+                    fits = self.beside(left, piece)
+                if fits:
+                    size.append(length)
+                    return
+            tried += 1
+            length = tried
 
     def last_by_score(self, word: str, end: int, size: list[int], score: list[float]) -> None:
         scores, best, length = self.vocabulary.scores, None, 0
@@ -154,11 +160,30 @@ class Codec:
         size.append(length)
         score.append(best)
 
-    def ids_of(self, pieces: list[str]) -> list[int]:
-        out = []
-        for piece in pieces:
-            known = self.vocabulary.ids.get(piece)
-            out.extend([known] if known is not None else [self.vocabulary.bytes[b] for b in piece.encode()])
+    def segment(self, words: list[str]) -> list[list[int]]:
+        """Ids of sorted words. ``size[d]`` is the length of the last piece of the first d characters."""
+        ids, step = self.vocabulary.ids, self.last_by_merges
+        if self.vocabulary.kind == UNIGRAM:
+            step = self.last_by_score
+        size, score, before, out = [0], [0.0], "", []
+        for word in words:
+            shared, most = 0, min(len(word), len(before))
+            while shared < most and word[shared] == before[shared]:
+                shared += 1
+            del size[shared + 1 :], score[shared + 1 :]
+            for end in range(shared + 1, len(word) + 1):
+                step(word, end, size, score)
+            backwards, end = [], len(word)
+            while end:
+                start = end - size[end]
+                piece = word[start:end]
+                if piece in ids:
+                    backwards.append(ids[piece])
+                else:
+                    backwards.extend(self.vocabulary.bytes[b] for b in reversed(piece.encode()))
+                end = start
+            out.append(backwards[::-1])
+            before = word
         return out
 
     def words(self, text: str) -> list[str]:
@@ -173,8 +198,11 @@ class Codec:
     def learn(self, words: set[str]) -> None:
         """Segments words that are not known yet, in sorted order."""
         marked = lambda w: w[1:] if w[:1] == MARK else MARK + w.replace(" ", MARK)
-        order = sorted((marked(word), word) for word in words if word != LITERAL)
-        ids = [self.ids_of(parts) for parts in self.segment([m for m, _ in order])]
+        order = [(marked(word), word) for word in words if word != LITERAL]
+        parts = [self.vocabulary.cut(mark) for mark, _ in order]
+        known = sorted({part for own in parts for part in own})
+        found = dict(zip(known, self.segment(known)))
+        ids = [found[own[0]] if len(own) == 1 else [n for part in own for n in found[part]] for own in parts]
         order = [word for _, word in order]
         if LITERAL in words:
             order.append(LITERAL)
@@ -185,7 +213,7 @@ class Codec:
         self.sizes = np.concatenate([self.sizes, np.array([len(one) for one in ids], np.int64)])
 
     def encode(self, texts: pa.Array) -> pa.ListArray:
-        if len(self.known) > CACHED:
+        if len(self.known) > CACHED or self.tests > CACHED:
             self.forget()
         strings = pc.fill_null(texts, "").to_pylist()
         words = [self.words(text) for text in strings]

@@ -7,7 +7,18 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivermark.llm import decontaminate, line_dedup, near_dup, pieces, toxicity
+from rivermark.llm import (
+    chat_tree,
+    class_lm,
+    decontaminate,
+    language,
+    line_dedup,
+    near_dup,
+    pieces,
+    toxicity,
+    url_filter,
+    vector_search,
+)
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,21 +49,46 @@ def op1(table):
     return pieces.sentencepiece(table("documents"), PIECES)
 
 
+@query("op2_url_filter")
+def op2(table):
+    return url_filter.url_filter(table("pages"))
+
+
+@query("op3_class_lm")
+def op3(table):
+    return class_lm.class_lm(table("documents"))
+
+
 @query("op4_near_dup")
 def op4(table):
     return near_dup.near_dup(table("documents"))
 
 
+@query("op5_language")
+def op5(table):
+    return language.language_id(table("documents"))
+
+
 @query("op6_toxicity")
 def op6(table):
     return toxicity.toxicity(table("documents"), table("labels"))
 
 
-@query("op7_decontaminate")
+@query("op7_decontaminate", decontaminate.SQL)
 def op7(table):
     return decontaminate.decontaminate(table("documents"), table("benchmark"))
 
 
+@query("op8_vector_search", vector_search.SQL)
+def op8(table):
+    return vector_search.vector_search(table("embeddings"))
+
+
 @query("op9_line_dedup")
 def op9(table):
     return line_dedup.line_dedup(table("documents"))
+
+
+@query("op10_chat_tree", chat_tree.SQL)
+def op10(table):
+    return chat_tree.chat_format(table("conversations"))
