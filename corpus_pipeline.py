@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivermark.llm import decontaminate, line_dedup, near_dup, pieces, toxicity
-from rivermark.llm.queries import PIECES, importable
+from rivermark.llm.queries import PIECES, prepare
 from rivermark.llm.rows import col, stored
 
 ORACLE_SQL = None  # trained scores, alignment and sketches have no SQL form
@@ -19,7 +19,7 @@ ORACLE_SQL = None  # trained scores, alignment and sketches have no SQL form
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the toxicity models reject."""
-    importable(spark)
+    prepare(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(toxicity.training_documents(docs), labels)
     judged = toxicity.scored(docs, model)
@@ -29,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without passages that an earlier document has; a document of which nothing is left goes."""
-    importable(spark)
+    prepare(spark)
     rows, flags = line_dedup.deduplicated(docs)
     emptied = col(flags).isNotNull() & ~near_dup.has_words("text")
     return rows.where(~emptied).drop(flags)
@@ -37,19 +37,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near copies."""
-    importable(spark)
+    prepare(spark)
     return near_dup.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that hold benchmark windows."""
-    importable(spark)
+    prepare(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with token ids, and whether these decode to the text."""
-    importable(spark)
+    prepare(spark)
     vocabulary = pieces.Vocabulary.read(PIECES)
     rows, ids = pieces.encoded(docs, vocabulary)
     rows, text = pieces.decoded(rows, vocabulary, ids)

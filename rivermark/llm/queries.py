@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from pathlib import Path
 
@@ -25,15 +26,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def importable(spark: SparkSession) -> None:
-    """Lets Python workers that are started from elsewhere find this package."""
+def prepare(spark: SparkSession) -> None:
+    """Lets Python workers that are started from elsewhere find this package, and
+    sends them texts in batches of a bounded size (Spark's own bound is 10,000 rows of any length)."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    for setting, most in (("maxRecordsPerBatch", 2000), ("maxBytesPerBatch", 4 << 20)):
+        name = f"spark.sql.execution.arrow.{setting}"
+        now = int(re.sub("[^0-9-]", "", spark.conf.get(name)) or 0)
+        if not 0 < now <= most:
+            spark.conf.set(name, most)
 
 
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[Callable[[str], DataFrame]], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            importable(spark)
+            prepare(spark)
             return build(lambda table: spark.read.parquet(f"{folder}/{table}.parquet"))
 
         QUERIES[name] = run

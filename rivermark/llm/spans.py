@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15  # odd, hence invertible modulo 2**64
 INVERSE = pow(BASE, -1, 1 << 64)
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = (1 << 20) - 64
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -44,6 +44,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         end = max(start + 1, int(np.searchsorted(sizes, done + limit, "right")))
         yield batch.slice(start, end - start)
         start = end
+    pa.default_memory_pool().release_unused()
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

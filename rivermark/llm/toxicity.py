@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from rivermark.llm.rows import col, free_name, in_training
+from rivermark.llm.rows import col, free_name, in_training, stored
 from rivermark.llm.spans import LETTERS, U64, Words, look_up, mixed, slices, sums_by
 
 ROWS = 1500
@@ -126,35 +126,45 @@ def count_texts(batches):
             )
 
 
-def kneser_ney(toxic: np.ndarray, previous: np.ndarray, word: np.ndarray, n: np.ndarray) -> Model:
-    total = word == TEXTS
-    texts = [max(n[total & (toxic == side)].sum(), 1) for side in (0, 1)]
-    toxic, previous, word, n = (x[~total] for x in (toxic, previous, word, n))
-    words, at = np.unique(word, return_inverse=True)
-    alone, sides = previous == 0, [toxic == side for side in (0, 1)]
-    spread = [np.bincount(at[alone & mine], n[alone & mine], len(words)) for mine in sides]
-    contexts, context = np.unique(previous[~alone], return_inverse=True)
-    pairs, place, pair = np.unique(pair_hash(previous[~alone], word[~alone]), return_index=True, return_inverse=True)
-    context_of, n, sides = context[place], n[~alone], [mine[~alone] for mine in sides]
-    rows = [np.bincount(context[mine], n[mine], len(contexts)) for mine in sides]
-    pair_rows = [np.bincount(pair[mine], n[mine], len(pairs)) for mine in sides]
-    different = np.bincount(at[~alone][place], minlength=len(words)) + 1.0
-    base = np.append(different, 1.0) / (different.sum() + 1)
+@dataclass
+class Counts:
+    """What the sample holds of words and pairs that can outlast the discount; rows are classes."""
+
+    texts: np.ndarray
+    totals: np.ndarray  # texts added up over all words
+    kinds: int  # different pairs, and different words, over all
+    words: np.ndarray
+    spread: np.ndarray  # texts with the word
+    different: np.ndarray  # words before it
+    contexts: np.ndarray
+    rows: np.ndarray  # texts added up over the words after it
+    previous: np.ndarray
+    following: np.ndarray
+    pair_rows: np.ndarray
+
+
+def kneser_ney(counts: Counts) -> Model:
+    """An expression without counts of its own says the same as an unknown one, so it need not be kept."""
+    base = np.append(counts.different + 1.0, 1.0) / (counts.kinds + 1)
+    order = np.argsort(pair_hash(counts.previous, counts.following))
+    pairs = pair_hash(counts.previous, counts.following)[order]
+    context_of = np.searchsorted(counts.contexts, counts.previous[order])
+    pair_rows, spread, rows, texts = counts.pair_rows[:, order], counts.spread, counts.rows, counts.texts
     lower, shared_mass, own_mass = [], [], []
     for side in (0, 1):
         own = kept(spread[side], spread[1 - side], texts[side], texts[1 - side])
-        total = max(spread[side].sum(), 1)
+        total = max(counts.totals[side], 1)
         lower.append((np.append(own, 0) + (total - own.sum()) * base) / total)
         own = kept(pair_rows[side], pair_rows[1 - side], texts[side], texts[1 - side])
         seen = np.maximum(rows[side], 1)
         own_mass.append(own / seen[context_of])
-        shared_mass.append(np.where(rows[side] > 0, 1 - np.bincount(context_of, own, len(contexts)) / seen, 1))
-    return Model(words, np.stack(lower), contexts, np.stack(shared_mass), pairs, np.stack(own_mass).astype(np.float32))
+        shared_mass.append(np.where(rows[side] > 0, 1 - np.bincount(context_of, own, len(counts.contexts)) / seen, 1))
+    return Model(counts.words, np.stack(lower), counts.contexts, np.stack(shared_mass), pairs, np.stack(own_mass).astype(np.float32))
 
 
 def kept(mine: np.ndarray, other: np.ndarray, my_texts: int, other_texts: int) -> np.ndarray:
     """Counts after the discount."""
-    return np.maximum(mine - DISCOUNT - SHARE * my_texts - COMMON * other * (my_texts / other_texts), 0)
+    return np.maximum(mine - DISCOUNT - SHARE * my_texts - COMMON * other * (my_texts / max(other_texts, 1)), 0)
 
 
 def fit_curve(evidence: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -197,6 +207,41 @@ def labelled_sample(
     )
 
 
+def gathered(sample: DataFrame) -> Counts:
+    """Counts the sample's texts. Only expressions of two texts or more of a class reach the driver: the
+    discount leaves nothing of the others."""
+    rows = sample.where("not fitting").select("toxic", "text").mapInArrow(count_texts, COUNTS)
+    each = stored(rows.groupBy("toxic", "previous", "word").agg(F.sum("n").alias("n")), "toxicity-counts")
+    side = [F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)]
+    often = F.greatest("n0", "n1") > DISCOUNT
+    alone, pairs = each.where(f"previous = 0 and word != {TEXTS}"), each.where("previous != 0")
+    texts = each.where(f"word = {TEXTS}").agg(*side).first()
+    totals = alone.agg(*side, F.countDistinct("word").alias("kinds")).first()
+    before = pairs.groupBy("word").agg(F.countDistinct("previous").alias("different"))
+    words = alone.groupBy("word").agg(*side).where(often).join(before, "word").orderBy("word").toArrow()
+    kept = pairs.groupBy("previous", "word").agg(*side).where(often)
+    contexts = pairs.join(kept.select("previous").distinct(), "previous", "left_semi").groupBy("previous").agg(*side).toArrow()
+    kept = kept.toArrow()
+    kinds = pairs.select("previous", "word").distinct().count() + (totals.kinds or 0)
+    column = lambda table, name: table.column(name).to_numpy()
+    hashes = lambda table, name: column(table, name).astype(np.int64).view(U64)
+    sides = lambda table: np.stack([column(table, "n0"), column(table, "n1")]).astype(float)
+    by_word, by_context = (np.argsort(hashes(t, n)) for t, n in ((words, "word"), (contexts, "previous")))
+    return Counts(
+        np.array([texts.n0 or 0, texts.n1 or 0]),
+        np.array([totals.n0 or 0, totals.n1 or 0]),
+        kinds,
+        hashes(words, "word")[by_word],
+        sides(words)[:, by_word],
+        column(words, "different")[by_word].astype(float),
+        hashes(contexts, "previous")[by_context],
+        sides(contexts)[:, by_context],
+        hashes(kept, "previous"),
+        hashes(kept, "word"),
+        sides(kept),
+    )
+
+
 def train(
     documents: DataFrame,
     labels: DataFrame,
@@ -208,19 +253,15 @@ def train(
     """Models and curve from the labelled texts among ``documents``."""
     sample = labelled_sample(documents, labels, id_column, text_column, rows, characters).persist()
     try:
-        counts = (
-            sample.where("not fitting").select("toxic", "text").mapInArrow(count_texts, COUNTS)
-            .groupBy("toxic", "previous", "word").agg(F.sum("n").alias("n")).toArrow()
-        )
+        counts = gathered(sample)
         fitting = sample.where("fitting").select("toxic", "text").toArrow()
     finally:
         sample.unpersist()
     shares = {r.toxic: r.n for r in labels.where("toxic in (0, 1)").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = shares.get(1, 0) / max(sum(shares.values()), 1)
-    arrays = [counts.column(i).to_numpy() for i in range(4)]
-    model = kneser_ney(arrays[0], arrays[1].astype(U64), arrays[2].astype(U64), arrays[3])
+    model = kneser_ney(counts)
     toxic = fitting.column("toxic").to_numpy() if fitting.num_rows else np.zeros(0)
-    if len(np.unique(arrays[0])) < 2 or len(np.unique(toxic)) < 2:
+    if not counts.texts.all() or len(np.unique(toxic)) < 2:
         odds = min(max(share, 1e-9), 1 - 1e-9)
         model.slope, model.offset = 0.0, float(np.log(odds / (1 - odds)))
         return model
