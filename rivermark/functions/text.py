@@ -12,8 +12,8 @@ def json_field(column: str, field: str) -> Column:
 
 
 def tokens(column: str | Column) -> Column:
-    """Lower-case words of a text."""
-    return F.split(F.lower(column), r"\W+")
+    """Lower-case words of a text: letters and digits of any script, and underscores."""
+    return F.split(F.lower(column), r"(?U)\W+")
 
 
 def any_token(column: str | Column, text: str) -> Column:

@@ -63,11 +63,14 @@ def parse_iso(column: str | Column, zone: str | None = None) -> Column:
     """ISO-8601 text to timestamp, null when it does not parse.
 
     ``zone`` names the producer's zone for text without an offset. Text that
-    states its own offset ("Z" or "+03:00" at the end) is left as it is.
+    states its own after a time ("Z", "+03", "+0300" or "+03:00") is left as
+    it is. The session's zone does not matter then.
     """
     text = F.col(column) if isinstance(column, str) else column
     parsed = F.try_to_timestamp(text)
     if zone is None:
         return parsed
-    stated = text.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
-    return F.when(stated, parsed).otherwise(F.to_utc_timestamp(parsed, zone))
+    stated = text.rlike(r":\d{2}(\.\d*)?\s*(Z|[+-]\d{2}(:?\d{2})?)$")
+    written = parsed.cast("timestamp_ntz")  # the fields of the text, whatever the session's zone is
+    there = F.convert_timezone(F.lit(zone), F.current_timezone(), written).cast("timestamp")
+    return F.when(stated, parsed).otherwise(there)

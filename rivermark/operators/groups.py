@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivermark.functions.numbers import mean, percent, total
@@ -31,13 +31,16 @@ def by_time(
 
 
 def with_empty_days(per_day: DataFrame, name: str = "periodo") -> DataFrame:
-    """A daily histogram with a zero row for each day between first and last."""
-    ends = per_day.agg(F.min(name).alias("first"), F.max(name).alias("last"))
-    days = ends.select(
-        F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 DAY"))).alias(name)
-    )
-    filled = days.join(per_day, name, "left")
-    return filled.select(name, F.coalesce("total", F.lit(0)).alias("total"))
+    """A daily histogram with a zero row for each day between first and last.
+
+    Each day is followed by the empty days up to the next one, so the histogram
+    is computed once. The window runs over one row per day.
+    """
+    day = F.expr("INTERVAL 1 DAY")
+    following = F.coalesce(F.lead(name).over(Window.orderBy(name)) - day, F.col(name))
+    spans = per_day.select(F.col(name).alias("_day"), "total", F.sequence(name, following, day).alias("_days"))
+    filled = spans.select("_day", "total", F.explode("_days").alias(name))
+    return filled.select(name, F.when(F.col(name) == F.col("_day"), F.col("total")).otherwise(F.lit(0)).alias("total"))
 
 
 def breakdown(df: DataFrame, column: str, absent: str = "unknown") -> DataFrame:

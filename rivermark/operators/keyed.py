@@ -10,26 +10,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _by_key(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+def _by_key(left: DataFrame, right: DataFrame, keys: list[str], how: str, unique: bool) -> DataFrame:
     """Semi or anti join on all keys as one struct.
 
     Structs compare null fields as equal, so a key with a null part still
-    meets itself; and the distinct keys of the right side are already hashed
-    the way the join needs them, which saves a second shuffle.
+    meets itself. A right side that may repeat keys is made distinct first: it
+    is then already hashed the way the join needs it, but the aggregate below
+    the join also keeps adaptive execution from splitting a hot key of the left
+    side. ``unique`` says that it does not repeat keys; nothing is aggregated
+    and a hot key on the left is split.
     """
     key = F.struct(*keys).alias("_key")
-    known = right.select(key).distinct()
+    known = right.select(key) if unique else right.select(key).distinct()
     return left.select("*", key).join(known, "_key", how).select(*left.columns)
 
 
-def matching(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def matching(left: DataFrame, right: DataFrame, keys: list[str], unique: bool = False) -> DataFrame:
     """Left rows whose key occurs on the right."""
-    return _by_key(left, right, keys, "left_semi")
+    return _by_key(left, right, keys, "left_semi", unique)
 
 
-def missing(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def missing(left: DataFrame, right: DataFrame, keys: list[str], unique: bool = False) -> DataFrame:
     """Left rows whose key does not occur on the right."""
-    return _by_key(left, right, keys, "left_anti")
+    return _by_key(left, right, keys, "left_anti", unique)
 
 
 def latest(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
@@ -54,14 +57,20 @@ def duplicated(df: DataFrame, keys: list[str]) -> DataFrame:
 def upsert(base: DataFrame, changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """``base`` (unique by key) with ``changes`` applied, newest by ``order``.
 
-    Base rows without a change pass through an anti join against the changed
-    keys only. When Spark measures those keys as small it broadcasts them and
-    the base is never shuffled; otherwise both sides are hashed by key.
-    Applying the same changes twice gives the same table.
+    The changes are reduced to one row per key and meet the base in one full
+    join, which reads either side once and shuffles the base once at most. Of
+    two versions the one that is greater by ``order`` stays, ties by the other
+    columns; applying the same changes twice gives the same table.
     """
-    touched = matching(base, changes, keys)
-    resolved = latest(touched.unionByName(changes.select(*base.columns)), keys, order)
-    return missing(base, changes, keys).unionByName(resolved)
+    columns = base.columns
+    ranked = [*order, *(c for c in columns if c not in keys and c not in order)]
+    version = F.struct(*ranked)
+    stored = base.select(F.struct(*keys).alias("_key"), version.alias("_stored"))
+    newer = latest(changes.select(*columns), keys, order)
+    newer = newer.select(F.struct(*keys).alias("_key"), version.alias("_newer"))
+    kept = F.when(F.col("_stored").isNull() | (F.col("_newer") > F.col("_stored")), F.col("_newer"))
+    rows = stored.join(newer, "_key", "full").select("_key", F.coalesce(kept, "_stored").alias("_row"))
+    return rows.select(*[F.col(f"_key.{c}") if c in keys else F.col(f"_row.{c}") for c in columns])
 
 
 def new_rows(

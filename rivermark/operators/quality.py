@@ -93,14 +93,23 @@ def with_time_defaults(df: DataFrame, columns: list[str], moment: str) -> DataFr
 def without_parent(
     children: DataFrame, parents: DataFrame, column: str, parent_key: str = "id"
 ) -> DataFrame:
-    """Child rows that name a parent which does not exist; null names none."""
+    """Child rows that name a parent which does not exist; null names none.
+
+    Parents are unique by key, so a parent with very many children is split.
+    """
     stated = children.where(F.col(column).isNotNull())
-    return keyed.missing(stated, parents.select(F.col(parent_key).alias(column)), [column])
+    return keyed.missing(stated, parents.select(F.col(parent_key).alias(column)), [column], unique=True)
 
 
 def surviving(
     children: DataFrame, deleted: DataFrame, column: str, parent_key: str = "id"
 ) -> DataFrame:
-    """Child rows left after their deleted parents took theirs along."""
-    gone = deleted.select(F.col(parent_key).alias("gone")).distinct()
-    return children.join(gone, F.col(column) == F.col("gone"), "left_anti")
+    """Child rows left after their deleted parents took theirs along.
+
+    Children that name no parent pass by the join; otherwise all of them would
+    meet in one task.
+    """
+    gone = deleted.select(F.col(parent_key).alias(column))
+    stated = children.where(F.col(column).isNotNull())
+    left = keyed.missing(stated, gone, [column], unique=True)
+    return left.unionByName(children.where(F.col(column).isNull()))

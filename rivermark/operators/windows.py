@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivermark import schemas
@@ -44,10 +43,14 @@ def sliding_stats(
     return _window_columns(stats)
 
 
-def pane_width(width: str, slide: str) -> str:
-    """The longest pane both the window and its step are made of."""
-    seconds = [int(pd.Timedelta(t).total_seconds()) for t in (width, slide)]
-    return f"{math.gcd(*seconds)} seconds"
+def pane_width(spark: SparkSession, width: str, slide: str) -> str:
+    """The longest pane both the window and its step are made of.
+
+    Spark itself reads the intervals, so every unit of a window is known here.
+    """
+    zero = "TIMESTAMP '1970-01-01 00:00:00Z'"
+    ends = ", ".join(f"unix_micros({zero} + INTERVAL '{t}')" for t in (width, slide))
+    return f"{math.gcd(*spark.sql(f'SELECT {ends}').first())} microseconds"
 
 
 def sliding_stats_by_panes(
@@ -63,7 +66,7 @@ def sliding_stats_by_panes(
     window and 1 minute step the large grouping updates one group per event
     instead of five, and the second shuffle holds one row per pane at most.
     """
-    pane = F.window("timestamp", pane_width(width, slide)).start.alias("pane")
+    pane = F.window("timestamp", pane_width(events.sparkSession, width, slide)).start.alias("pane")
     panes = events.groupBy(pane, "categoria", "evento").agg(
         F.count("*").alias("n"),
         F.count("valor").alias("n_valor"),

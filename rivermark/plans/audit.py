@@ -24,11 +24,11 @@ def by_status_rank(leads: DataFrame) -> DataFrame:
     return rows.orderBy("ordem", "id")
 
 
-def session_states(sessions: DataFrame) -> DataFrame:
+def session_states(sessions: DataFrame, ordered: bool = True) -> DataFrame:
     """Each session with a label for its state, inactive ones first."""
     state = F.when(F.col("is_active"), "ATIVA").otherwise("ENCERRADA")
     rows = sessions.select("id", "lead_id", "is_active", state.alias("estado"))
-    return rows.orderBy("is_active", "id")
+    return rows.orderBy("is_active", "id") if ordered else rows
 
 
 def open_leads(leads: DataFrame, closed: list[str], origins: list[str]) -> DataFrame:

@@ -200,14 +200,13 @@ def daily_histogram(d: Data):
     """SELECT dia AS periodo, count(started_at) AS total
     FROM (SELECT unnest(generate_series(date_trunc('day', min(started_at))::TIMESTAMP,
                  date_trunc('day', max(started_at))::TIMESTAMP, INTERVAL 1 DAY)) AS dia
-          FROM sessions WHERE is_active AND total_messages >= 19)
-    LEFT JOIN sessions ON date_trunc('day', started_at) = dia AND is_active AND total_messages >= 19
+          FROM sessions)
+    LEFT JOIN sessions ON date_trunc('day', started_at) = dia
     GROUP BY ALL""",
     SESSIONS,
 )
 def daily_histogram_with_empty_days(d: Data):
-    long_chats = d.active.where(F.col("total_messages") >= 19)
-    return groups.with_empty_days(groups.by_time(long_chats, "day", time="started_at"))
+    return groups.with_empty_days(groups.by_time(d.sessions, "day", time="started_at"))
 
 
 @query(

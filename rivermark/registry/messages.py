@@ -158,7 +158,8 @@ def row_to_json(d: Data):
     return payload.decode(payload.to_messages(rows)).withColumnRenamed("json_data", "texto")
 
 
-@query("f02_json_to_struct", f"SELECT {EVENT_SQL} FROM eventos WHERE valor > 20", EVENTOS)
+@query("f02_json_to_struct", f"{PARSED_SESSIONS} FROM sessions", SESSIONS)
 def json_to_struct(d: Data):
-    rows = payload.parse(payload.decode(event_messages(d)), schemas.EVENT)
-    return rows.where(F.col("valor") > 20).select(*EVENT_COLUMNS)
+    rows = payload.parse(payload.decode(session_messages(d)), schemas.SESSION)
+    times = {c: F.col(c).cast("timestamp_ntz") for c in schemas.SESSION_TIMES}
+    return texts(rows.withColumns(times).select(*SESSION_PARTS), "pages_visited")

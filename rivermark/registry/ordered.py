@@ -64,7 +64,7 @@ def qualified_in_order(d: Data):
     SESSIONS,
 )
 def sessions_in_order(d: Data):
-    return leads.active_sessions(d.sessions, d.leads).select("id", "lead_id", "started_at")
+    return search.newest(d.active, None, "started_at").select("id", "lead_id", "started_at")
 
 
 @query(

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivermark import schemas
 from rivermark.operators import keyed, payload, quality
 from rivermark.registry.base import EVENTOS, LEADS, SESSIONS, Data, query
+from rivermark.streaming import router, sync
 from rivermark.streaming.router import EVENT_FIELDS
 
 
@@ -22,6 +26,59 @@ def unparsed_messages(d: Data):
     return rows.where(payload.unparsed(EVENT_FIELDS)).select("json_data")
 
 
+BAD_KIND = "error"
+
+
+@query(
+    "q01_bad_fields",
+    f"""SELECT 'eventos' AS tabela, id, 'type_valor' AS regras FROM eventos WHERE evento = '{BAD_KIND}'
+    UNION ALL SELECT 'sessions', id, 'type_total_messages,type_is_active' FROM sessions WHERE nivel_interesse = 'alto'""",
+    EVENTOS,
+    SESSIONS,
+)
+def bad_fields(d: Data):
+    """Events of one kind with a text for a number, sessions of one level with two bad values: just these are refused."""
+    value = F.when(F.col("evento") == BAD_KIND, "abc").otherwise(F.col("valor").cast("string"))
+    high = F.col("nivel_interesse") == "alto"
+    sessions = d.sessions.withColumns(
+        {
+            "total_messages": F.when(high, "99999999999").otherwise(F.col("total_messages").cast("string")),
+            "is_active": F.when(high, "talvez").otherwise(F.col("is_active").cast("string")),
+        }
+    )
+    messages = [
+        # a quoted number is no number on the wire, so only the bad values are texts
+        payload.to_messages(d.events.where(F.col("evento") != BAD_KIND)),
+        payload.to_messages(d.events.where(F.col("evento") == BAD_KIND).withColumn("valor", value)),
+        sync.messages(d.sessions.where(~high), schemas.SESSION_TAG),
+        sync.messages(sessions.where(high), schemas.SESSION_TAG),
+    ]
+    texts = payload.decode(reduce(DataFrame.unionByName, messages))
+    refused = router.split(texts)["quarantine"]
+    found = F.from_json("json_data", "id string, tipo_evento string")
+    table = F.when(found["tipo_evento"].isNull(), "eventos").otherwise("sessions")
+    return refused.select(table.alias("tabela"), found["id"].alias("id"), F.array_join("violations", ",").alias("regras"))
+
+
+@query(
+    "q07_defaults_only_when_absent",
+    """SELECT id, CASE WHEN origem = 'site' THEN 'novo' ELSE status_lead END AS status_lead,
+              CASE WHEN origem = 'site' THEN 0 ELSE score_qualificacao END AS score_qualificacao
+    FROM leads WHERE origem <> 'chatbot'""",
+    LEADS,
+)
+def defaults_only_when_absent(d: Data):
+    """Absent fields take defaults; a score that is no number is refused."""
+    leads = d.leads
+    parts = [
+        sync.messages(leads.where("origem = 'indicacao'"), schemas.LEAD_TAG),
+        sync.messages(leads.where("origem = 'site'").drop("status_lead", "score_qualificacao"), schemas.LEAD_TAG),
+        sync.messages(leads.where("origem = 'chatbot'").withColumn("score_qualificacao", F.lit("abc")), schemas.LEAD_TAG),
+    ]
+    rows = router.split(payload.decode(reduce(DataFrame.unionByName, parts)))["leads"]
+    return rows.select("id", "status_lead", "score_qualificacao")
+
+
 @query(
     "q02_required_fields",
     """SELECT 'required_nome' AS regra, count(*) FILTER (nome IS NULL) AS linhas FROM leads

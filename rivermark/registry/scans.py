@@ -100,7 +100,7 @@ def document_lookup(d: Data):
     SESSIONS,
 )
 def labelled_scan(d: Data):
-    return audit.session_states(d.sessions)
+    return audit.session_states(d.sessions, ordered=False)
 
 
 @query(
@@ -176,22 +176,27 @@ def user_equality(d: Data):
 
 @query(
     "p15_any_word",
-    r"""SELECT conv_id, turn, role FROM conversations
-    WHERE list_has_any(regexp_split_to_array(lower(text), '[^a-zA-Z0-9_]+'), ['please', 'the', 'weather'])""",
+    r"""SELECT doc_id, lang FROM documents
+    WHERE list_has_any(string_split(regexp_replace(lower(text), '[^\p{L}\p{N}_]', ' ', 'g'), ' '), ['él', 'être', 'über'])""",
 )
 def any_word(d: Data):
-    rows = search.matching_fields(d.chat, match={"text": "Please the WEATHER"})
-    return rows.select("conv_id", "turn", "role")
+    rows = search.matching_fields(d.table("documents"), match={"text": "Él; ÊTRE über"})
+    return rows.select("doc_id", "lang")
 
 
 @query(
     "p16_phrase",
-    r"""SELECT conv_id, turn, role FROM conversations
-    WHERE contains(' ' || trim(regexp_replace(lower(text), '[^a-zA-Z0-9_]+', ' ', 'g')) || ' ', ' of the ')""",
+    r"""SELECT doc_id, lang, source FROM documents
+    WHERE regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])für[^\p{L}\p{N}_]+die([^\p{L}\p{N}_]|$)')
+       OR regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])of[^\p{L}\p{N}_]+the([^\p{L}\p{N}_]|$)')""",
 )
 def phrase(d: Data):
-    rows = search.matching_fields(d.chat, phrases={"text": "of the"})
-    return rows.select("conv_id", "turn", "role")
+    """Documents that hold either phrase."""
+    texts = d.table("documents")
+    german = search.matching_fields(texts, phrases={"text": "Für die"})
+    english = search.matching_fields(texts, phrases={"text": "of the"})
+    rows = german.unionByName(english).select("doc_id", "lang", "source")
+    return rows.distinct()
 
 
 @query(
@@ -216,7 +221,7 @@ def field_search(d: Data):
     EVENTOS,
 )
 def combined_conditions(d: Data):
-    rows = search.matching_fields(d.events, match={"categoria": "interacao"}, at_least={"valor": 50})
+    rows = search.matching_fields(d.events, equal={"categoria": "interacao"}, at_least={"valor": 50})
     return recent(rows, "timestamp", d.as_of(d.events, "timestamp"), days=7)
 
 

@@ -11,11 +11,10 @@ from rivermark.registry.base import EVENTOS, LEADS, SESSIONS, Data, query
 from rivermark.registry.scans import EVENT_COLUMNS, EVENT_SQL
 from rivermark.session import shared_folder
 from rivermark.sinks import files
-from rivermark.streaming.sync import pending
+from rivermark.streaming.sync import pending, store_mark, stored_mark
 
 CHANGED_SQL = """CASE WHEN evento = 'purchase' THEN valor * 2 ELSE valor END AS valor,
-    CASE WHEN evento = 'purchase' THEN processado_em + INTERVAL 1 DAY
-         WHEN evento = 'view' THEN processado_em ELSE processado_em END AS processado_em"""
+    CASE WHEN evento = 'purchase' THEN processado_em + INTERVAL 1 DAY ELSE processado_em END AS processado_em"""
 
 
 def changed(stored: DataFrame) -> DataFrame:
@@ -109,5 +108,8 @@ def rebuild(d: Data):
 def incremental_sync(d: Data):
     """Leads after those sent, and late ones within the overlap."""
     sent = d.leads.where("created_at <= TIMESTAMP_NTZ '2024-01-20' AND origem <> 'site'")
-    rows = pending(d.leads, sent, "created_at", schemas.ID_KEY, overlap_hours=24)
+    folder = shared_folder(d.spark, "mark")
+    store_mark(sent, "created_at", folder)
+    mark = stored_mark(d.spark, folder)
+    rows = pending(d.leads, sent, "created_at", schemas.ID_KEY, mark=mark)
     return rows.select("id", "created_at")

@@ -34,14 +34,14 @@ from rivermark.registry.messages import (
 )
 from rivermark.registry.scans import EVENT_COLUMNS, EVENT_SQL
 from rivermark.session import shared_folder
-from rivermark.sinks import files
+from rivermark.sinks import files, versions
 from rivermark.streaming import jobs, router
-from rivermark.streaming.progress import progress_rows
+from rivermark.streaming.progress import late_rows, progress_log, progress_rows
 
 ROUTES = ["events", "leads", "sessions", "unknown", "quarantine"]
 
 
-FILES_PER_BATCH = 200
+FILES_PER_BATCH = 200  # bounds what one batch keeps in memory; the rest comes in further batches
 
 
 def _run_events(d: Data, sinks: list[str]) -> tuple[str, object, DataFrame]:
@@ -59,8 +59,9 @@ def _run_router(d: Data, routes: list[str], runs: int = 1) -> dict[str, DataFram
     root = shared_folder(d.spark, "router-run")
     messages = mixed_messages(StreamData(d.spark, d.folder, FILES_PER_BATCH))
     targets = {name: jobs.file_sink(f"{root}/{name}") for name in routes}
+    others = [name for name in ROUTES if name not in routes]
     for _ in range(runs):
-        jobs.replay(jobs.start_router, messages, targets, f"{root}/checkpoints")
+        jobs.replay(jobs.start_router, messages, targets, f"{root}/checkpoints", discarded=others)
     shapes = router.split(payload.decode(messages))
     return {
         name: files.table_rows(d.spark, f"{root}/{name}", shapes[name].schema) for name in routes
@@ -137,11 +138,67 @@ def repeated_run(d: Data):
     return rows.groupBy("id").agg(F.count("*").alias("vezes"))
 
 
+LEADS_AGAIN = """updated_at + CASE origem WHEN 'site' THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END"""
+
+
+@query(
+    "k08_upsert_sink",
+    f"""SELECT id, email, CASE origem WHEN 'site' THEN 'convertido' ELSE status_lead END AS status_lead,
+              origem, created_at, {LEADS_AGAIN} AS updated_at FROM leads""",
+    LEADS,
+)
+def upsert_sink(d: Data):
+    """All leads, then newer versions of some and older versions of others."""
+    root = shared_folder(d.spark, "upsert-sink")
+    columns = ["id", "email", "status_lead", "origem", "created_at", "updated_at"]
+    leads = StreamData(d.spark, d.folder, FILES_PER_BATCH).leads.select(*columns)
+    day = F.expr("INTERVAL 1 DAY")
+    again = leads.where("origem in ('site', 'chatbot')").withColumns(
+        {
+            "status_lead": F.when(F.col("origem") == "site", "convertido").otherwise("perdido"),
+            "updated_at": F.when(F.col("origem") == "site", F.col("updated_at") + day).otherwise(F.col("updated_at") - day),
+        }
+    )
+    sink = versions.upsert_sink(f"{root}/leads", schemas.ID_KEY, ["updated_at"], "created_at")
+    jobs.replay(jobs.start, leads, "leads", sink, f"{root}/checkpoints")
+    jobs.replay(jobs.start, again, "leads_de_novo", sink, f"{root}/checkpoints")
+    return versions.table_rows(d.spark, f"{root}/leads", leads.schema)
+
+
+@query(
+    "t04_late_events",
+    """SELECT janela_inicio, categoria, evento, total_eventos, true AS atrasadas FROM janelas
+    WHERE janela_fim <= (SELECT max(timestamp) FROM eventos) - INTERVAL 10 MINUTE""",
+    EVENTOS,
+    JANELAS,
+)
+def late_events(d: Data):
+    """All events, then all of them again: windows stay as they are, what comes too late is counted."""
+    root, log_folder = shared_folder(d.spark, "late-run"), shared_folder(d.spark, "progress")
+    event_messages(d).select("value").write.parquet(f"{root}/messages")
+    messages = d.spark.readStream.schema("value binary").parquet(f"{root}/messages")
+    sink = jobs.file_sink(f"{root}/windows")
+    with progress_log(d.spark, log_folder) as log:
+        for again in (False, True):
+            if again:
+                event_messages(d).select("value").write.mode("append").parquet(f"{root}/messages")
+            run = jobs.replay(jobs.start_windows, messages, sink, f"{root}/checkpoints", scale=AMOUNT_SCALE)
+            log.wait(run)
+    late = late_rows(progress_rows(d.spark, log_folder).where(F.col("id") == str(run.id)))
+    rows = payload.processed(jobs.windowed(jobs.stored_event_rows(messages), scale=AMOUNT_SCALE))
+    stored = files.table_rows(d.spark, f"{root}/windows", rows.schema)
+    found = late.agg((F.sum("linhas_atrasadas") > 0).alias("atrasadas")).scalar()
+    return stored.select("janela_inicio", "categoria", "evento", "total_eventos", found.alias("atrasadas"))
+
+
 @query(
     "t11_progress",
     "SELECT 'eventos_raw' AS consulta, count(*) AS linhas FROM events",
 )
 def progress(d: Data):
-    _, run, _ = _run_events(d, ["raw"])
-    rows = progress_rows(d.spark, [run])
+    folder = shared_folder(d.spark, "progress")
+    with progress_log(d.spark, folder) as log:
+        _, run, _ = _run_events(d, ["raw"])
+        log.wait(run)
+    rows = progress_rows(d.spark, folder).where(F.col("id") == str(run.id))
     return rows.groupBy("consulta").agg(F.sum("linhas").alias("linhas"))

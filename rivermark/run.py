@@ -1,30 +1,39 @@
 """Starts the streaming jobs: ``PYTHONPATH=. spark-submit rivermark/run.py events ...``.
 
-Rows go to Parquet folders below ``--store``, or to a database with ``--jdbc``;
-documents go to ``--documents`` when it is given. Source and connector jars
-come from the cluster (``--packages``).
+Events and windows go to Parquet folders below ``--store``, or with ``--jdbc`` to
+a database, where a stored key is never inserted again. Leads and sessions
+change, so they are updated by key: in day folders below ``--store``, or with
+``--connect`` in a database. Documents go to ``--documents`` when it is given.
+Source and connector jars come from the cluster (``--packages``).
+
+The events job owns the events, the router leads and sessions; each has its
+quarantine, and all jobs keep their progress below ``--store``.
 """
 
 from __future__ import annotations
 
 import argparse
+from importlib import import_module
 
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from rivermark import schemas
 from rivermark.session import spark_session
-from rivermark.sinks import connectors, database
+from rivermark.sinks import connectors, database, versions
 from rivermark.sources.streams import broker_options, message_stream
 from rivermark.streaming import jobs
+from rivermark.streaming.progress import progress_log
 from rivermark.streaming.router import Sink
 
-# Table of each route, its key, and the key's time for narrowing the lookup.
-ROUTE_TABLES = {
-    "events": ("eventos_raw", schemas.EVENT_KEY, "timestamp"),
-    "leads": ("leads", schemas.ID_KEY, None),
-    "sessions": ("chat_sessions", schemas.ID_KEY, None),
-}
+# Tables that only grow: name, key, and the key's time for narrowing the lookup.
+EVENT_TABLE = ("eventos_raw", schemas.EVENT_KEY, "timestamp")
 WINDOW_TABLE = ("eventos_agregados", schemas.WINDOW_KEY, "janela_inicio")
+# Tables whose rows change, by route: name, what says which version is newer, and the day's time.
+CHANGING_TABLES = {
+    "leads": ("leads", ["updated_at"], "created_at"),
+    "sessions": ("chat_sessions", ["processado_em"], "started_at"),
+}
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -35,13 +44,17 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--starting", choices=["latest", "earliest"])
     parser.add_argument("--checkpoints", required=True, help="folder all executors reach")
     parser.add_argument("--store", required=True, help="folder for tables and quarantine")
-    parser.add_argument("--jdbc", help="database URL; tables are written there")
+    parser.add_argument("--jdbc", help="database URL; events and windows are written there")
     parser.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
+    parser.add_argument("--connect", metavar="MODULE:FUNCTION", help="opens a DB-API connection in a task")
     parser.add_argument("--documents", metavar="HOST:PORT", help="document store")
     parser.add_argument("--zone", help="zone of times without an offset")
     parser.add_argument("--per-batch", type=int, help="most messages of one batch")
     parser.add_argument("--once", action="store_true", help="take what is there and end")
-    return parser.parse_args(argv)
+    given = parser.parse_args(argv)
+    if given.job == "router" and given.jdbc:
+        parser.error("leads and sessions are updated by key: give --connect and not --jdbc")
+    return given
 
 
 def table_sink(spark: SparkSession, given: argparse.Namespace, table: tuple) -> Sink:
@@ -52,40 +65,48 @@ def table_sink(spark: SparkSession, given: argparse.Namespace, table: tuple) ->
     return database.jdbc_sink(spark, given.jdbc, name, options, keys, time)
 
 
+def changing_sink(given: argparse.Namespace, route: str) -> Sink:
+    name, order, day = CHANGING_TABLES[route]
+    if given.connect is None:
+        return versions.upsert_sink(f"{given.store}/{name}", schemas.ID_KEY, order, day)
+    module, function = given.connect.split(":")
+    return database.upsert_sink(getattr(import_module(module), function), name, schemas.ID_KEY, order)
+
+
 def document_sink(given: argparse.Namespace) -> Sink:
     host, port = given.documents.rsplit(":", 1)
     options = connectors.document_options(host, int(port), "eventos")
     return lambda rows, query_id, batch_id: connectors.write_documents(rows, options)
 
 
-def start(spark: SparkSession, given: argparse.Namespace) -> None:
+def start(spark: SparkSession, given: argparse.Namespace) -> list[StreamingQuery]:
     starting = given.starting or {"events": "latest", "router": "earliest"}[given.job]
     source = broker_options(given.servers, given.topic, starting, given.per_batch)
     messages = message_stream(spark, "kafka", source)
     trigger = {"availableNow": True} if given.once else None
-    quarantine = jobs.file_sink(f"{given.store}/quarentena")
+    quarantine = jobs.file_sink(f"{given.store}/quarentena/{given.job}")
     if given.job == "router":
-        sinks = {route: table_sink(spark, given, t) for route, t in ROUTE_TABLES.items()}
+        sinks = {route: changing_sink(given, route) for route in CHANGING_TABLES}
         sinks |= {"unknown": jobs.file_sink(f"{given.store}/desconhecidos"), "quarantine": quarantine}
-        jobs.start_router(messages, sinks, given.checkpoints, trigger, given.zone)
-        return
-    sinks = {"raw": table_sink(spark, given, ROUTE_TABLES["events"]), "quarantine": quarantine}
+        return [jobs.start_router(messages, sinks, given.checkpoints, trigger, given.zone, list(CHANGING_TABLES))]
+    sinks = {"raw": table_sink(spark, given, EVENT_TABLE), "quarantine": quarantine}
     if given.documents:
         sinks["documents"] = document_sink(given)
-    jobs.start_raw_and_documents(messages, sinks, given.checkpoints, trigger, given.zone)
+    raw = jobs.start_raw_and_documents(messages, sinks, given.checkpoints, trigger, given.zone)
     windows = table_sink(spark, given, WINDOW_TABLE)
-    jobs.start_windows(messages, windows, given.checkpoints, trigger, zone=given.zone)
+    return [raw, jobs.start_windows(messages, windows, given.checkpoints, trigger, zone=given.zone)]
 
 
 def main() -> None:
     given = arguments()
     spark = spark_session("rivermark")
-    start(spark, given)
-    if given.once:
-        for query in spark.streams.active:
-            query.awaitTermination()
-    else:
-        jobs.run_until_one_stops(spark)
+    with progress_log(spark, f"{given.store}/progresso") as log:
+        queries = start(spark, given)
+        if not given.once:
+            jobs.run_until_one_stops(spark)
+        for query in queries:
+            query.awaitTermination()  # raises the query's failure, also of one that has ended by now
+            log.wait(query)
 
 
 if __name__ == "__main__":

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -32,16 +33,20 @@ def spark_session(app: str = "rivermark", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@cache
+def trial_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"rivermark-{application}-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for ``purpose`` below the cluster's ``spark.checkpoint.dir``.
 
-    Executors and a restarted driver must both see it, so a machine-local
-    temporary folder is only taken in local mode.
+    Executors and a restarted driver must both see it. A session of one process
+    that names none, as in a trial, gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.partition("[")[0] == "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="rivermark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = trial_folder(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

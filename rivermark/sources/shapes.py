@@ -1,7 +1,7 @@
 """The analytics tables derived from general order and event tables.
 
 ``events``, ``customer``, ``orders`` and ``nation`` give the event, lead and
-session rows every registered query reads. registry.oracle states the same
+session rows every registered query reads. registry.base states the same
 mapping in SQL.
 """
 

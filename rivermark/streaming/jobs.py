@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -70,16 +70,13 @@ def start_raw_and_documents(
     """Raw table and document index from one read and one parse.
 
     Sinks: ``raw``, ``documents`` and, to keep what cannot be stored,
-    ``quarantine``.
+    ``quarantine``. Those that are not given are left out on purpose.
     """
+    frames_of = {"raw": accepted, "documents": accepted, "quarantine": rejected}
 
     def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
         rows = batch.persist()
-        frames = {
-            "raw": accepted(rows),
-            "documents": accepted(rows),
-            "quarantine": rejected(rows),
-        }
+        frames = {name: make(rows) for name, make in frames_of.items() if name in sinks}
         try:
             write_all(frames, sinks, query_id, batch_id)
         finally:
@@ -114,12 +111,18 @@ def start_windows(
 
 
 def start_router(
-    messages: DataFrame, sinks: Mapping[str, Sink], checkpoints: str, trigger=None, zone: str | None = None
+    messages: DataFrame,
+    sinks: Mapping[str, Sink],
+    checkpoints: str,
+    trigger=None,
+    zone: str | None = None,
+    routes: Collection[str] | None = None,
+    discarded: Collection[str] = (),
 ) -> StreamingQuery:
-    """All kinds from one stream; sinks by route name, see router.split."""
+    """The ``routes`` (all by default) from one stream; sinks by route name, see router.split."""
 
     def write(texts: DataFrame, query_id: str, batch_id: int) -> None:
-        write_routes(texts, sinks, query_id, batch_id, zone)
+        write_routes(texts, sinks, query_id, batch_id, zone, routes, discarded)
 
     return start(payload.decode(messages), "roteador", write, checkpoints, trigger)
 

@@ -1,34 +1,89 @@
-"""What the running queries did: input, speed, state and late rows."""
+"""What the queries did: input, speed, state and late rows, kept beyond the run."""
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 PROGRESS = """
-    consulta string, lote bigint, linhas bigint, linhas_por_segundo double,
-    marca_dagua string, linhas_em_estado bigint, linhas_atrasadas bigint
+    consulta string, id string, execucao string, lote bigint, momento string, linhas bigint,
+    linhas_por_segundo double, marca_dagua string, linhas_em_estado bigint, linhas_atrasadas bigint
 """
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows a query dropped behind its watermark."""
-    return sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
-
-
-def progress_rows(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
-    """One row per recent batch; Spark keeps the last 100 of each query."""
-    rows = [
-        (
-            p.name,
-            p.batchId,
-            p.numInputRows,
-            float(p.processedRowsPerSecond),
-            p.eventTime.get("watermark"),
-            sum(s.numRowsTotal for s in p.stateOperators),
-            sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
-        )
-        for query in queries
-        for p in query.recentProgress
-    ]
-    return spark.createDataFrame(rows, PROGRESS)
+class ProgressLog(StreamingQueryListener):
+    """Stores the progress of every batch below ``folder``.
+
+    A query itself remembers its last 100 batches only. Each progress is a
+    folder named by query, run and batch, so storing it again replaces it. A
+    query that waits for data repeats its last batch number; the later progress
+    without rows does not replace the one with them.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self.ended: dict[str, threading.Event] = {}
+        self.failed: list[Exception] = []
+
+    def _end_of(self, run: object) -> threading.Event:
+        return self.ended.setdefault(str(run), threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        self._end_of(event.runId)
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        late = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+        row = (
+            p.name, str(p.id), str(p.runId), p.batchId, p.timestamp, p.numInputRows,
+            float(p.processedRowsPerSecond), p.eventTime.get("watermark"),
+            sum(s.numRowsTotal for s in p.stateOperators), late,
+        )
+        idle = "" if p.numInputRows or late else "-vazio"
+        folder = f"{self.folder}/linhas/{p.runId}-{p.batchId}{idle}"
+        try:
+            self.spark.createDataFrame([row], PROGRESS).coalesce(1).write.mode("overwrite").parquet(folder)
+        except Exception as error:  # a listener must not raise; the reader does
+            self.failed.append(error)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end_of(event.runId).set()
+
+    def wait(self, query: StreamingQuery, seconds: float = 120) -> None:
+        """Returns when an ended query's last progress is stored."""
+        if not self._end_of(query.runId).wait(seconds):
+            raise TimeoutError(f"no end of {query.name} within {seconds} s")
+        if self.failed:
+            raise self.failed[0]
+
+
+@contextmanager
+def progress_log(spark: SparkSession, folder: str) -> Iterator[ProgressLog]:
+    """Keeps the progress of all queries that run meanwhile."""
+    log = ProgressLog(spark, folder)
+    spark.streams.addListener(log)
+    try:
+        yield log
+    finally:
+        spark.streams.removeListener(log)
+
+
+def progress_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per batch of every logged query and run."""
+    rows = spark.read.schema(PROGRESS).option("recursiveFileLookup", "true").parquet(f"{folder}/linhas")
+    busy = F.struct(F.col("linhas") + F.col("linhas_atrasadas"), "momento")
+    kept = rows.groupBy("id", "execucao", "lote").agg(F.max_by(F.struct("*"), busy).alias("row"))
+    return kept.select("row.*")
+
+
+def late_rows(progress: DataFrame) -> DataFrame:
+    """Per query: rows dropped behind its watermark, over all runs."""
+    return progress.groupBy("consulta").agg(F.sum("linhas_atrasadas").alias("linhas_atrasadas"))

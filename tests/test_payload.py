@@ -2,11 +2,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows_of
 from rivermark import schemas
 from rivermark.functions.text import any_token, phrase
+from rivermark.functions import times
 from rivermark.functions.times import parse_iso
 from rivermark.operators import payload
 
@@ -106,6 +108,20 @@ def test_token_and_phrase_search(spark):
     assert [r[0] for r in in_order] == ["Compra feita, por Ana"]
 
 
+@pytest.mark.parametrize("session_zone", ["UTC", "Asia/Tokyo"])
+def test_offsets_of_two_digits_in_any_session_zone(spark, session_zone):
+    texts = ["2024-01-01 10:00:00+00", "2024-01-01 07:00:00-03", "2024-01-01T10:00:00.5Z", "2024-01-01T07:00:00", "2024-01-01"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", session_zone)
+    try:
+        rows = spark.createDataFrame([(t,) for t in texts], "t string")
+        got = rows.select("t", F.unix_millis(times.parse_iso("t", "America/Sao_Paulo")).alias("ms"))
+        ten = 1704103200000
+        assert {r.t: r.ms for r in got.collect()} == dict(zip(texts, [ten, ten, ten + 500, ten, ten - 7 * 3_600_000]))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_event_time_is_read_in_the_producers_zone(spark):
     rows = texts(spark, '{"id":"a","timestamp":"2025-12-04T10:00:00"}', '{"id":"b","timestamp":"2025-12-04T10:00:00Z"}')
     read = payload.parse(rows, schemas.EVENT, zone="America/Sao_Paulo")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 from conftest import plan_of, rows_of
 from rivermark.functions.times import latest_time
-from rivermark.operators import groups, windows
+from rivermark.operators import groups, keyed, quality, windows
 from rivermark.plans import audit, views
 from rivermark.plans import events as event_reports
 from rivermark.plans import leads as lead_reports
@@ -171,6 +171,41 @@ def test_hot_lead_is_split_by_the_join(spark, tmp_path):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+@pytest.mark.parametrize("operator", [quality.without_parent, quality.surviving])
+def test_children_of_a_hot_parent_are_split(spark, tmp_path, operator):
+    sessions, leads = skewed(spark)
+    sessions.write.parquet(str(tmp_path / "s"))
+    leads.where("id != 'l0'").write.parquet(str(tmp_path / "l"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = operator(spark.read.parquet(str(tmp_path / "s")), spark.read.parquet(str(tmp_path / "l")), "lead_id")
+        rows.collect()
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+        named = rows.where("lead_id = 'l0'").count()
+        assert named >= 133_000 and rows.count() == named + (133_333 if operator is quality.surviving else 0)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_upsert_reads_each_side_once(spark, tmp_path):
+    schema = "id string, versao int, n int"
+    for name in ("base", "changes"):
+        spark.createDataFrame([("a", 1, 1)], schema).write.parquet(str(tmp_path / name))
+    base, changes = (spark.read.parquet(str(tmp_path / name)) for name in ("base", "changes"))
+    plan = plan_of(keyed.upsert(base, changes, ["id"], ["versao"]))
+    assert plan.count("Scan parquet") == 2 * 2  # once in the tree, once in its details
+
+
 def test_hot_lead_meets_the_summary_join_as_one_row(spark):
     sessions, leads = skewed(spark, 90_000)
     per_lead = lead_reports.sessions_per_lead(sessions)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan_of, rows_of
 from rivermark import run, schemas
 from rivermark.operators import payload
-from rivermark.sinks import database, files
+from rivermark.sinks import database, files, versions
 from rivermark.streaming import sync
 
 EVENT = "id string, timestamp timestamp, valor double"
@@ -63,32 +66,61 @@ def from_files(monkeypatch, spark, folder):
     monkeypatch.setattr(run, "message_stream", stream)
 
 
-def finish(spark):
-    for query in spark.streams.active:
-        query.awaitTermination()
+LEAD = {"tipo_evento": "lead", "id": "l1", "nome": "Ana", "email": "a@x", "created_at": "2024-01-01T10:00:00"}
 
 
-@pytest.mark.parametrize("job", ["events", "router"])
-def test_jobs_fill_their_tables(spark, tmp_path, monkeypatch, job):
+def test_both_jobs_share_a_store(spark, tmp_path, monkeypatch):
+    """Each message is stored once; a lead keeps its newest version."""
     folder, store = str(tmp_path / "in"), str(tmp_path / "store")
+    versions_of = [
+        LEAD | {"status_lead": "novo", "updated_at": "2024-01-02T10:00:00"},
+        LEAD | {"status_lead": "convertido", "updated_at": "2024-01-03T10:00:00"},
+        LEAD | {"status_lead": "perdido", "updated_at": "2024-01-01T10:00:00"},
+        {"tipo_evento": "chat_session", "id": "s1", "lead_id": "l1"},
+        {"tipo_evento": "outro"},
+    ]
     rows = events(spark, ("a", "10:00:00", 1), ("b", "10:30:00", 2)).selectExpr(
         "*", "'u' AS usuario", "'login' AS evento", "'ecommerce' AS categoria"
     )
-    payload.to_messages(rows).write.parquet(folder)
+    texts = [(json.dumps(m),) for m in versions_of] + [("no json",)]
+    others = spark.createDataFrame(texts, "value string").select(F.col("value").cast("binary"))
+    payload.to_messages(rows).unionByName(others).write.parquet(folder)
     from_files(monkeypatch, spark, folder)
-    given = run.arguments(
-        [job, "--servers", "b:9092", "--checkpoints", str(tmp_path / "cp"), "--store", store, "--once"]
-    )
-    run.start(spark, given)
-    finish(spark)
+    for job in ("events", "router", "events", "router"):
+        arguments = [job, "--servers", "b:9092", "--checkpoints", str(tmp_path / "cp"), "--store", store, "--once"]
+        queries = run.start(spark, run.arguments(arguments))
+        assert len(queries) == {"events": 2, "router": 1}[job]
+        for query in queries:
+            query.awaitTermination()
     stored = files.table_rows(spark, f"{store}/eventos_raw", schemas.EVENT)
     assert rows_of(stored.select("id")) == [("a",), ("b",)]
-    if job == "events":
-        closed = files.table_rows(spark, f"{store}/eventos_agregados", "janela_inicio timestamp, total_eventos bigint")
-        assert closed.count() == 5 and {r.total_eventos for r in closed.collect()} == {1}
-    else:
-        lost = files.table_rows(spark, f"{store}/quarentena", "json_data string")
-        assert lost.count() == 0
+    closed = files.table_rows(spark, f"{store}/eventos_agregados", "janela_inicio timestamp, total_eventos bigint")
+    assert closed.count() == 5 and {r.total_eventos for r in closed.collect()} == {1}
+    leads = versions.table_rows(spark, f"{store}/leads", "id string, status_lead string")
+    assert rows_of(leads) == [("l1", "convertido")]
+    assert versions.table_rows(spark, f"{store}/chat_sessions", "id string").count() == 1
+    lost = {j: files.table_rows(spark, f"{store}/quarentena/{j}", "json_data string").count() for j in ("events", "router")}
+    assert lost == {"events": 1, "router": 0}
+    assert files.table_rows(spark, f"{store}/desconhecidos", "tipo_evento string").count() == 1
+
+
+def test_a_failed_query_is_raised_by_its_job(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "in")
+    spark.createDataFrame([(json.dumps(LEAD),)], "value string").select(F.col("value").cast("binary")).write.parquet(folder)
+    from_files(monkeypatch, spark, folder)
+    monkeypatch.setattr(run.versions, "upsert_sink", lambda *a: lambda *b: 1 / 0)
+    given = run.arguments(["router", "--servers", "b", "--checkpoints", str(tmp_path / "cp"), "--store", str(tmp_path / "s"), "--once"])
+    with pytest.raises(Exception, match="not written"):
+        for query in run.start(spark, given):
+            query.awaitTermination()
+
+
+def test_the_router_updates_a_database_by_key_only():
+    base = ["router", "--servers", "b", "--checkpoints", "c", "--store", "s"]
+    with pytest.raises(SystemExit):
+        run.arguments([*base, "--jdbc", "jdbc:x"])
+    given = run.arguments([*base, "--connect", "os:getcwd"])
+    assert callable(run.changing_sink(given, "leads"))
 
 
 def test_database_sinks_are_chosen_by_argument(spark):

@@ -1,19 +1,20 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime
 from pathlib import Path
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from conftest import plan_of, rows_of
 from rivermark.operators import keyed
 from rivermark.session import shared_folder
-from rivermark.sinks import connectors, database, files, tables
+from rivermark.sinks import connectors, database, files, tables, versions
 from rivermark.sources import streams
 from rivermark.sources.tables import read_files, stored_keys
-from rivermark.streaming.sync import pending
+from rivermark.streaming.sync import pending, store_mark, stored_mark
 
 SCHEMA = "id string, versao int"
 
@@ -120,6 +121,9 @@ def test_upsert_statement_runs_and_updates(spark):
     con.executemany(statement, [("a", 1, 1), ("b", 1, 1)])
     con.executemany(statement, [("a", 1, 5), ("a", 2, 7)])
     assert sorted(con.execute("FROM t").fetchall()) == [("a", 1, 5), ("a", 2, 7), ("b", 1, 1)]
+    guarded = database.upsert_statement("t", ["id", "dia", "n"], ["id", "dia"], "?", "n")
+    con.executemany(guarded, [("a", 1, 4), ("a", 2, 8)])
+    assert sorted(con.execute("FROM t").fetchall()) == [("a", 1, 5), ("a", 2, 8), ("b", 1, 1)]
     only_keys = database.upsert_statement("t", ["id"], ["id"])
     assert only_keys == "INSERT INTO t (id) VALUES (%s) ON CONFLICT (id) DO NOTHING"
 
@@ -208,6 +212,54 @@ def test_pending_takes_all_for_an_empty_sink_and_nothing_twice(spark):
     assert ids(pending(rows, rows, "created_at", ["id"])) == []
 
 
+def test_a_stored_mark_spares_the_history(spark, tmp_path):
+    folder, history = str(tmp_path / "mark"), str(tmp_path / "sent")
+    rows = spark.sql("SELECT * FROM VALUES ('a', TIMESTAMP '2024-01-01'), ('b', TIMESTAMP '2024-03-01') AS t(id, created_at)")
+    rows.where("id = 'a'").write.parquet(history)
+    store_mark(rows.where("id = 'a'"), "created_at", folder)
+    mark = stored_mark(spark, folder)
+    left = pending(rows, spark.read.parquet(history), "created_at", ["id"], mark=mark)
+    assert [r.id for r in left.collect()] == ["b"]
+    assert "max(created_at" not in plan_of(left)
+    store_mark(rows.where("id = 'b'"), "created_at", folder, mark)
+    assert str(stored_mark(spark, folder).first()[0]) == "2024-03-01 00:00:00"
+
+
+def test_versions_keep_the_newest_row_and_other_days_folders(spark, tmp_path):
+    root, schema = str(tmp_path / "v"), "id string, versao int, dia_em timestamp"
+    make = lambda *rows: spark.createDataFrame(rows, schema)
+    one, two = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    sink = versions.upsert_sink(root, ["id"], ["versao"], "dia_em")
+    assert versions.table_rows(spark, root, schema).isEmpty()
+    sink(make(("a", 1, one), ("b", 1, two), ("n", 1, None)), "q", 0)
+    before = {r.dia: r.pasta for r in versions.index(spark, root)}
+    sink(make(("a", 3, one), ("a", 2, one), ("c", 1, one)), "q", 1)
+    for batch in (1, 1):
+        sink(make(("a", 9, one)), "q", batch)  # a batch that was applied is passed over
+    sink(make(("a", 2, one)), "q", 2)
+    sink(make(), "q", 3)
+    stored = versions.table_rows(spark, root, schema).select("id", "versao")
+    assert rows_of(stored) == [("a", 3), ("b", 1), ("c", 1), ("n", 1)]
+    after = {r.dia: r.pasta for r in versions.index(spark, root)}
+    assert after["2024-01-02"] == before["2024-01-02"] and after["2024-01-01"] != before["2024-01-01"]
+    assert versions.drop_days_before(spark, root, "2024-01-02") == ["2024-01-01"]
+    assert rows_of(versions.table_rows(spark, root, schema).select("id")) == [("b",), ("n",)]
+
+
+def test_a_half_written_batch_is_not_seen(spark, tmp_path, monkeypatch):
+    root, schema = str(tmp_path / "v"), "id string, versao int, dia_em timestamp"
+    make = lambda *rows: spark.createDataFrame(rows, schema)
+    day = datetime(2024, 1, 1)
+    versions.upsert_batch(make(("a", 1, day)), root, ["id"], ["versao"], "dia_em", "q", 0)
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "_write_index", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            versions.upsert_batch(make(("a", 2, day)), root, ["id"], ["versao"], "dia_em", "q", 1)
+    assert rows_of(versions.table_rows(spark, root, schema).select("versao")) == [(1,)]
+    versions.upsert_batch(make(("a", 2, day)), root, ["id"], ["versao"], "dia_em", "q", 1)
+    assert rows_of(versions.table_rows(spark, root, schema).select("versao")) == [(2,)]
+
+
 def test_shared_folder_is_the_cluster_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     one, two = shared_folder(spark, "x"), shared_folder(spark, "x")

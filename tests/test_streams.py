@@ -12,7 +12,7 @@ from rivermark.sinks import files
 from rivermark.sources import shapes
 from rivermark.sources.streams import file_stream, message_stream
 from rivermark.streaming import jobs, router
-from rivermark.streaming.progress import late_rows, progress_rows
+from rivermark.streaming.progress import late_rows, progress_log, progress_rows
 
 EVENTS = "/root/testdata/sf0.001"
 MESSAGE = "value binary"
@@ -80,7 +80,8 @@ def test_stream_equals_batch_for_closed_windows(spark, events, tmp_path):
     for i, part in enumerate(quarters(events)):
         drop_file(part, folder, i, i)
     query = run_windows(spark, folder, out, str(tmp_path / "cp"))
-    assert query.exception() is None and late_rows(query) == 0
+    assert query.exception() is None
+    assert sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators) == 0
     assert rows_of(stored_windows(spark, out)) == rows_of(closed(events))
     keys = stored_windows(spark, out).groupBy(*schemas.WINDOW_KEY).count()
     assert keys.where("count > 1").isEmpty()
@@ -105,14 +106,30 @@ def test_late_rows_are_dropped_and_counted(spark, events, tmp_path):
     parts = quarters(events)
     for age, i in enumerate((3, 2, 1, 0)):
         drop_file(parts[i], folder, i, age)
-    query = run_windows(spark, folder, out, str(tmp_path / "cp"))
-    assert late_rows(query) > 0
+    with progress_log(spark, str(tmp_path / "log")) as log:
+        query = run_windows(spark, folder, out, str(tmp_path / "cp"))
+        log.wait(query)
+    late = sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
     got, want = set(rows_of(stored_windows(spark, out))), set(rows_of(closed(events)))
     assert got and got < want
     by_name = {p.batchId: p for p in query.recentProgress}
-    table = progress_rows(spark, [query])
-    assert table.agg(F.sum("linhas_atrasadas")).first()[0] == late_rows(query)
-    assert table.count() == len(query.recentProgress) >= len(by_name)
+    table = progress_rows(spark, str(tmp_path / "log"))
+    assert late > 0 and rows_of(late_rows(table)) == [(query.name or "eventos_agregados", late)]
+    assert {r.lote for r in table.collect()} == set(by_name)
+
+
+def test_progress_of_more_batches_than_a_query_remembers(spark, tmp_path):
+    folder = tmp_path / "in"
+    for n in range(110):
+        drop_file(spark.range(n % 3 + 1).selectExpr("CAST(id AS STRING) AS id"), str(folder), n, n)
+    with progress_log(spark, str(tmp_path / "log")) as log:
+        query = jobs.replay(
+            jobs.start, stream_of(spark, str(folder)), "muitos", lambda rows, q, b: rows.count(), str(tmp_path / "cp")
+        )
+        log.wait(query)
+    table = progress_rows(spark, str(tmp_path / "log"))
+    assert len(query.recentProgress) <= 100 < table.count()
+    assert table.agg(F.sum("linhas")).first()[0] == sum(n % 3 + 1 for n in range(110))
 
 
 def test_raw_and_documents_come_from_one_read(spark, events, tmp_path):
@@ -165,7 +182,7 @@ def test_router_restarts_without_repeats(spark, events, tmp_path):
     sinks = {n: jobs.file_sink(f"{root}/{n}") for n in ("events", "unknown", "quarantine")}
     for i, part in enumerate(parts):
         drop_file(part, folder, i, i)
-        jobs.replay(jobs.start_router, stream_of(spark, folder), sinks, f"{root}/cp")
+        jobs.replay(jobs.start_router, stream_of(spark, folder), sinks, f"{root}/cp", discarded=["leads", "sessions"])
     stored = files.table_rows(spark, f"{root}/events", f"{schemas.EVENT}, processado_em timestamp")
     assert stored.count() == events.count() == stored.select("id").distinct().count()
     again = files.read_batches(spark, f"{root}/events", schemas.EVENT)

@@ -83,10 +83,24 @@ def test_double_and_decimal_sums_agree(spark):
         assert value[3].valor_total == pytest.approx(plain[key][3].valor_total)
 
 
-def test_pane_is_cut_by_no_window_edge():
-    assert windows.pane_width("5 minutes", "1 minute") == "60 seconds"
-    assert windows.pane_width("5 minutes", "2 minutes") == "60 seconds"
-    assert windows.pane_width("10 minutes", "10 minutes") == "600 seconds"
+def test_pane_is_cut_by_no_window_edge(spark):
+    second = 1_000_000
+    for width, slide, seconds in [
+        ("5 minutes", "1 minute", 60),
+        ("5 minutes", "2 minutes", 60),
+        ("10 minutes", "10 minutes", 600),
+        ("1 second", "500 milliseconds", 0.5),
+        ("1 week", "1 day", 86400),
+    ]:
+        assert windows.pane_width(spark, width, slide) == f"{int(seconds * second)} microseconds"
+
+
+@pytest.mark.parametrize("width, slide", [("1 second", "500 milliseconds"), ("1 week", "2 days"), ("3 seconds", "750 milliseconds")])
+def test_forms_agree_below_a_second_and_over_weeks(spark, width, slide):
+    rows = [(START + timedelta(milliseconds=137 * i * i), "ab"[i % 2], "x", i / 100) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    one_pass, panes = (f(df, width, slide, scale=2) for f in (windows.sliding_stats, windows.sliding_stats_by_panes))
+    assert sorted(map(str, one_pass.collect())) == sorted(map(str, panes.collect()))
 
 
 def test_one_hot_group_is_reduced_before_the_shuffle(spark):
