@@ -7,7 +7,8 @@ is rare, or that both classes use, is left to the shared counts and moves the
 score little. Counts are of texts, so one text that repeats itself weighs once. A text's evidence is the
 difference of its two log-likelihoods divided by its number of words; a logistic
 curve, fitted on labelled texts the models have not counted, turns that into a
-probability.
+probability. Evidence below that of ``USUAL`` of the ordinary texts counts as that
+much: how ordinary a text is says nothing more, and mislabelled texts would flatten the curve.
 
 The classifier is fitted on a bounded sample of the labelled rows (``ROWS`` per
 class and ``CHARACTERS`` of text per class, in the order of a hash of the id), which
@@ -41,6 +42,7 @@ COMMON = 4.0  # times the other class's rate that still counts as shared
 THRESHOLD = 0.3
 FIRST = U64(1)  # stands before the first word of a text
 COUNTS = "toxic int, previous long, word long, n long"
+USUAL = 0.95
 TEXTS = U64(2)  # in the place of a word: all texts
 
 
@@ -54,6 +56,7 @@ class Model:
     shared: np.ndarray  # by class: share of the context's occurrences that goes to the lower order
     pairs: np.ndarray
     own: np.ndarray  # by class: share of the context's occurrences that the pair keeps
+    usual: float = 0.0
     slope: float = 0.0
     offset: float = -50.0
 
@@ -80,7 +83,7 @@ class Model:
         return np.where(words.counts > 0, means, nothing)
 
     def score(self, texts: pa.Array) -> np.ndarray:
-        return curve(self.slope * self.evidence(texts) + self.offset)
+        return curve(self.slope * np.maximum(self.evidence(texts) - self.usual, 0) + self.offset)
 
 
 def curve(x: np.ndarray) -> np.ndarray:
@@ -267,7 +270,8 @@ def train(
         return model
     weight = np.where(toxic == 1, share / (toxic == 1).mean(), (1 - share) / (toxic == 0).mean())
     evidence = model.evidence(fitting.column("text").combine_chunks())
-    model.slope, model.offset = fit_curve(evidence, toxic, weight)
+    model.usual = float(np.quantile(evidence[toxic == 0], USUAL))
+    model.slope, model.offset = fit_curve(np.maximum(evidence - model.usual, 0), toxic, weight)
     return model
 
 
