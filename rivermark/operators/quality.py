@@ -40,6 +40,27 @@ def max_lengths(limits: Mapping[str, int]) -> list[Rule]:
     ]
 
 
+def in_form(column: str, pattern: str) -> Rule:
+    """A text that the whole pattern has to fit."""
+    return Rule(f"form_{column}", F.coalesce(~F.col(column).rlike(f"^(?:{pattern})$"), F.lit(False)))
+
+
+def json_text(column: str) -> Rule:
+    return Rule(f"json_{column}", F.col(column).isNotNull() & F.try_parse_json(column).isNull())
+
+
+def stored_forms(kind: str) -> list[Rule]:
+    """What the relational tables demand of texts that are typed there: UUIDs, addresses, JSON."""
+    return {
+        "leads": [in_form("id", schemas.UUID_FORM), json_text("localizacao")],
+        "sessions": [
+            in_form("id", schemas.UUID_FORM),
+            in_form("lead_id", schemas.UUID_FORM),
+            in_form("ip_address", schemas.ADDRESS_FORM),
+        ],
+    }[kind]
+
+
 def event_rules() -> list[Rule]:
     return required(*schemas.EVENT_REQUIRED) + max_lengths(schemas.EVENT_LENGTHS)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -12,6 +13,7 @@ from rivermark.functions.times import iso_text
 from rivermark.operators import groups, payload
 from rivermark.registry.base import EVENTOS, LEADS, SESSIONS, Data, query, texts
 from rivermark.registry.scans import EVENT_COLUMNS, EVENT_SQL
+from rivermark.session import shared_folder
 from rivermark.streaming import router, sync
 
 MESSAGE_SQL = """'{"id":"' || id || '","usuario":"' || usuario || '","evento":"' || evento || '","valor":'
@@ -163,3 +165,27 @@ def json_to_struct(d: Data):
     rows = payload.parse(payload.decode(session_messages(d)), schemas.SESSION)
     times = {c: F.col(c).cast("timestamp_ntz") for c in schemas.SESSION_TIMES}
     return texts(rows.withColumns(times).select(*SESSION_PARTS), "pages_visited")
+
+
+@query("p02_processing_time", "SELECT id, true AS depois FROM eventos", EVENTOS)
+def processing_time(d: Data):
+    """Every event gets a processing time that is not before this run's start."""
+    start = datetime.now(UTC)
+    rows = payload.events(event_messages(d))
+    return rows.select("id", (F.col("processado_em") >= F.lit(start)).alias("depois"))
+
+
+@query(
+    "f17_unique_ids",
+    "SELECT evento, count(*) AS linhas, count(*) AS ids, count(*) AS uuids FROM eventos GROUP BY evento",
+    EVENTOS,
+)
+def unique_ids(d: Data):
+    """Events entered without an id get one each, in the UUID form."""
+    folder = shared_folder(d.spark, "manual")
+    payload.manual_events(d.events.drop("id")).write.parquet(folder)
+    stored = d.spark.read.parquet(folder)
+    form = F.col("id").rlike(f"^{schemas.UUID_FORM}$")
+    return stored.groupBy("evento").agg(
+        F.count("*").alias("linhas"), F.countDistinct("id").alias("ids"), F.count_if(form).alias("uuids")
+    )

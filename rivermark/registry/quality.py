@@ -181,3 +181,28 @@ def defaults(d: Data):
 )
 def lengths(d: Data):
     return quality.violation_counts(d.chat, quality.max_lengths({"text": 255, "role": 4}))
+
+
+@query(
+    "q08_forms",
+    """SELECT id, CASE WHEN n % 3 = 0 THEN 'form_id,' ELSE '' END || CASE WHEN n % 400 > 255 THEN 'form_ip_address,' ELSE '' END
+              || CASE WHEN n % 5 = 0 THEN 'json_localizacao,' ELSE '' END AS regras
+    FROM (SELECT 'sess-' || o_orderkey AS id, o_orderkey AS n FROM orders)""",
+)
+def forms(d: Data):
+    """Ids, addresses and JSON texts made from every session, some of them in a wrong form."""
+    n = F.col("o_orderkey")
+    digest = F.regexp_replace(F.md5(n.cast("string").cast("binary")), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    rows = d.table("orders").select(
+        F.concat(F.lit("sess-"), n).alias("sessao"),
+        F.when(n % 3 == 0, F.concat(digest, F.lit("0"))).otherwise(digest).alias("id"),
+        F.concat(F.lit("10.0."), n % 400, F.lit(".1")).alias("ip_address"),
+        F.when(n % 5 == 0, '{"pais":').otherwise('{"pais": "BR"}').alias("localizacao"),
+    )
+    rules = [
+        quality.in_form("id", schemas.UUID_FORM),
+        quality.in_form("ip_address", schemas.ADDRESS_FORM),
+        quality.json_text("localizacao"),
+    ]
+    named = F.array_join(F.transform("violations", lambda r: F.concat(r, F.lit(","))), "")
+    return quality.checked(rows, rules).select(F.col("sessao").alias("id"), named.alias("regras"))

@@ -277,3 +277,9 @@ def events_today(d: Data):
 @query("a18_leads_by_origin", "SELECT origem, count(*) AS total FROM leads GROUP BY origem", LEADS)
 def leads_by_origin(d: Data):
     return groups.counts(d.leads, "origem")
+
+
+@query("f06_now", f"SELECT {EVENT_SQL} FROM eventos WHERE timestamp >= now()::TIMESTAMP - INTERVAL 36500 DAY", EVENTOS)
+def since_now(d: Data):
+    """A cut-off by the clock: a century back, so all events."""
+    return recent(d.events, "timestamp", days=36500)

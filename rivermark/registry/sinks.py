@@ -10,7 +10,7 @@ from rivermark.operators import keyed
 from rivermark.registry.base import EVENTOS, LEADS, SESSIONS, Data, query
 from rivermark.registry.scans import EVENT_COLUMNS, EVENT_SQL
 from rivermark.session import shared_folder
-from rivermark.sinks import files
+from rivermark.sinks import files, tables, versions
 from rivermark.streaming.sync import pending, store_mark, stored_mark
 
 CHANGED_SQL = """CASE WHEN evento = 'purchase' THEN valor * 2 ELSE valor END AS valor,
@@ -113,3 +113,58 @@ def incremental_sync(d: Data):
     mark = stored_mark(d.spark, folder)
     rows = pending(d.leads, sent, "created_at", schemas.ID_KEY, mark=mark)
     return rows.select("id", "created_at")
+
+
+RETAINED_DAYS = 10
+
+
+@query(
+    "k10_store_retention",
+    f"""SELECT {EVENT_SQL} FROM eventos
+    WHERE timestamp::DATE >= (SELECT max(timestamp)::DATE FROM eventos) - {RETAINED_DAYS}""",
+    EVENTOS,
+)
+def store_retention(d: Data):
+    """Stored batches folded by day, old days dropped, and a batch that came after the fold."""
+    root = shared_folder(d.spark, "store")
+    early = d.events.where("valor < 90")
+    files.write_batch(early, f"{root}/lotes", "q", 0)
+    files.fold(d.spark, f"{root}/lotes", f"{root}/tabela", d.events.schema, schemas.EVENT_KEY, [])
+    first = d.events.agg(F.date_sub(F.to_date(F.max("timestamp")), RETAINED_DAYS).cast("string")).first()[0]
+    versions.drop_days_before(d.spark, f"{root}/tabela", first)
+    late = d.events.where((F.col("valor") >= 90) & (F.to_date("timestamp") >= first))
+    files.write_batch(late, f"{root}/lotes", "q", 1)
+    return files.folded_rows(d.spark, f"{root}/lotes", f"{root}/tabela", d.events.schema).select(*EVENT_COLUMNS)
+
+
+@query("k11_tables", f"SELECT {EVENT_SQL} FROM eventos", EVENTOS)
+def catalog_tables(d: Data):
+    """Created twice, made anew, filled once; read from the table's folder."""
+    folder = shared_folder(d.spark, "table")
+    name = f"eventos_{folder[-12:]}"
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in d.events.select(*EVENT_COLUMNS).schema)
+    for _ in range(2):
+        tables.create(d.spark, name, columns, f"{folder}/a")
+    tables.recreate(d.spark, name, columns, f"{folder}/b")
+    d.events.select(*EVENT_COLUMNS).write.insertInto(name)
+    d.spark.sql(f"DROP TABLE {name}")
+    return d.spark.read.parquet(f"{folder}/b")
+
+
+@query("k12_comments", "SELECT 'd' || chr(39) || 'agua: ' || count(*) || ' linhas' AS comentario FROM events")
+def comments(d: Data):
+    folder = shared_folder(d.spark, "table")
+    name = f"eventos_{folder[-12:]}"
+    tables.create(d.spark, name, "id string", folder)
+    tables.comment(d.spark, name, f"d'agua: {d.events.count()} linhas")
+    found = d.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Comment'").first().data_type
+    d.spark.sql(f"DROP TABLE {name}")
+    return d.spark.createDataFrame([(found,)], "comentario string")
+
+
+@query("p19_active_folder", "SELECT id, lead_id, started_at FROM sessions WHERE is_active", SESSIONS)
+def active_folder(d: Data):
+    """Sessions stored by their flag; the filter reads one folder."""
+    folder = shared_folder(d.spark, "by-flag")
+    d.sessions.hint("rebalance", "is_active").write.partitionBy("is_active").parquet(folder)
+    return d.spark.read.schema(d.sessions.schema).parquet(folder).where("is_active").select("id", "lead_id", "started_at")

@@ -6,6 +6,7 @@ lie in new folders of the cluster's shared checkpoint folder.
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -202,3 +203,38 @@ def progress(d: Data):
         log.wait(run)
     rows = progress_rows(d.spark, folder).where(F.col("id") == str(run.id))
     return rows.groupBy("consulta").agg(F.sum("linhas").alias("linhas"))
+
+
+@query(
+    "t03_windows_once",
+    """SELECT janela_inicio, categoria, evento, 1::BIGINT AS vezes FROM janelas
+    WHERE janela_fim <= (SELECT max(timestamp) FROM eventos) - INTERVAL 10 MINUTE""",
+    EVENTOS,
+    JANELAS,
+)
+def windows_once(d: Data):
+    """Each window behind the watermark leaves once, also when its events come in two runs."""
+    root = shared_folder(d.spark, "windows-once")
+    last = d.events.agg(F.max("timestamp")).first()[0]
+    middle = F.lit(last - timedelta(days=10))
+    sink = jobs.file_sink(f"{root}/windows")
+    for half in (F.col("timestamp") < middle, F.col("timestamp") >= middle):
+        payload.to_messages(d.events.where(half)).write.mode("append").parquet(f"{root}/messages")
+        messages = d.spark.readStream.schema("value binary").parquet(f"{root}/messages")
+        jobs.replay(jobs.start_windows, messages, sink, f"{root}/checkpoints", scale=AMOUNT_SCALE)
+    rows = payload.processed(jobs.windowed(jobs.stored_event_rows(messages), scale=AMOUNT_SCALE))
+    stored = files.table_rows(d.spark, f"{root}/windows", rows.schema)
+    return stored.groupBy(*schemas.WINDOW_KEY).agg(F.count("*").alias("vezes"))
+
+
+@query("t07_restart", "SELECT id, count(*) AS vezes FROM eventos GROUP BY id", EVENTOS)
+def restart(d: Data):
+    """The raw table after a stop between two deliveries; the checkpoint knows the first."""
+    root = shared_folder(d.spark, "restart")
+    raw = {"raw": jobs.file_sink(f"{root}/raw")}
+    for part in ("evento = 'click'", "evento != 'click'"):
+        payload.to_messages(d.events.where(part)).write.mode("append").parquet(f"{root}/messages")
+        messages = d.spark.readStream.schema("value binary").parquet(f"{root}/messages")
+        jobs.replay(jobs.start_raw_and_documents, messages, raw, f"{root}/checkpoints")
+    shape = router.accepted(jobs.stored_event_rows(messages))
+    return files.table_rows(d.spark, f"{root}/raw", shape.schema).groupBy("id").agg(F.count("*").alias("vezes"))

@@ -80,6 +80,14 @@ LEAD_LENGTHS = {
 }
 SESSION_LENGTHS = {"session_token": 255, "intencao_detectada": 100, "nivel_interesse": 50}
 
+# Forms of texts that the relational tables type.
+UUID_FORM = r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
+_BYTE = r"(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+ADDRESS_FORM = (
+    rf"{_BYTE}(\.{_BYTE}){{3}}(/([0-9]|[12][0-9]|3[0-2]))?"
+    r"|(?=.*:)([0-9a-fA-F]{0,4}:){2,7}[0-9a-fA-F]{0,4}(/[0-9]{1,3})?"
+)
+
 # Defaults of an event entered by hand.
 MANUAL_EVENT_DEFAULTS = {"usuario": "manual_user", "categoria": "teste_manual"}
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from rivermark.functions.times import AsOf, cutoff
 from rivermark.operators import keyed
+from rivermark.sinks import versions
 
 BATCH_COLUMNS = ["consulta", "lote"]
 
@@ -89,3 +90,30 @@ def rebuilt(raw: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def rebuild(raw: DataFrame, keys: list[str], order: list[str], target: str) -> None:
     """Writes the keyed table anew; swap readers to ``target`` when it is done."""
     rebuilt(raw, keys, order).write.parquet(target)
+
+
+def _unfolded(spark: SparkSession, root: str, table: str, schema) -> DataFrame:
+    """Batches of ``root`` that ``table`` does not hold yet."""
+    rows = read_batches(spark, root, schema)
+    last = versions.index(spark, table)
+    if not last:
+        return rows
+    folded = (F.col("consulta") == last[0].consulta) & (F.col("lote") <= last[0].lote)
+    return rows.where(~folded)
+
+
+def fold(spark: SparkSession, root: str, table: str, schema, keys: list[str], order: list[str], day: str = "timestamp") -> None:
+    """Moves a stream's batches into a table by day: few files per day, one row per key.
+
+    One query writes ``root``; it may go on meanwhile, its later batches are taken next time.
+    """
+    rows = _unfolded(spark, root, table, schema)
+    last = rows.agg(F.max(F.struct("lote", "consulta")).alias("last")).first()["last"]
+    if last is not None:
+        chosen = rows.where(F.col("lote") <= last.lote).drop(*BATCH_COLUMNS)
+        versions.upsert_batch(chosen, table, keys, order, day, last.consulta, last.lote)
+
+
+def folded_rows(spark: SparkSession, root: str, table: str, schema) -> DataFrame:
+    """The folded table and the batches that came after it."""
+    return versions.table_rows(spark, table, schema).unionByName(_unfolded(spark, root, table, schema).drop(*BATCH_COLUMNS))
