@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from rivermark import schemas
 from rivermark.operators import keyed, payload, quality
 from rivermark.registry.base import EVENTOS, LEADS, SESSIONS, Data, query
-from rivermark.streaming import router, sync
+from rivermark.session import shared_folder
+from rivermark.sinks import files, versions
+from rivermark.streaming import constraints, jobs, router, sync
 from rivermark.streaming.router import EVENT_FIELDS
 
 
@@ -130,6 +132,53 @@ def one_per_user(d: Data):
     return keyed.latest(d.events.select("id", "usuario", "timestamp"), ["usuario"], ["timestamp"])
 
 
+@query(
+    "q05_email_routed",
+    """SELECT 'leads' AS tabela, id, email FROM leads
+    UNION ALL SELECT 'recusados', id || '-de-novo', email FROM leads WHERE origem <> 'chatbot'""",
+    LEADS,
+)
+def email_routed(d: Data):
+    """All leads, and some again under another id: within the batch and after it, the first id keeps the e-mail."""
+    root = shared_folder(d.spark, "email")
+    columns = ["id", "email", "created_at", "updated_at"]
+    inner = versions.upsert_sink(f"{root}/leads", schemas.ID_KEY, ["updated_at"], "created_at")
+    read = lambda: versions.table_rows(d.spark, f"{root}/leads", "id string, email string")
+    sink = constraints.unique_sink(inner, jobs.file_sink(f"{root}/recusados"), read, "email")
+    leads = d.leads.select(*columns, "origem")
+    again = leads.withColumn("id", F.concat("id", F.lit("-de-novo")))
+    sink(leads.unionByName(again.where("origem = 'site'")).select(*columns), "q", 0)
+    sink(again.where("origem = 'indicacao'").select(*columns), "q", 1)
+    refused = files.table_rows(d.spark, f"{root}/recusados", "id string, email string")
+    stored = read().select(F.lit("leads").alias("tabela"), "id", "email")
+    return stored.unionByName(refused.select(F.lit("recusados").alias("tabela"), "id", "email"))
+
+
+@query(
+    "q06_orphans_routed",
+    """SELECT s.id, CASE WHEN l.status_lead <> 'perdido' OR l.origem = 'site' THEN 'sessions' ELSE 'espera' END AS tabela
+    FROM sessions s JOIN leads l ON l.id = s.lead_id""",
+    LEADS,
+    SESSIONS,
+)
+def orphans_routed(d: Data):
+    """Sessions before some of their leads: they wait, and are stored once their lead is."""
+    root = shared_folder(d.spark, "orphans")
+    lost = F.col("status_lead") == "perdido"
+    columns = ["id", "lead_id", "started_at", "processado_em"]
+    sessions = d.sessions.withColumn("processado_em", F.col("started_at")).select(*columns)
+    inner = versions.upsert_sink(f"{root}/sessions", schemas.ID_KEY, ["processado_em"], "started_at", "yyyy")
+    arrived = [d.leads.where(~lost), d.leads.where(~lost | (F.col("origem") == "site"))]
+    for number, leads in enumerate(arrived):
+        sink = constraints.parent_sink(inner, f"{root}/espera", lambda leads=leads: leads, "lead_id")
+        sink(sessions if number == 0 else sessions.limit(0), "q", number)
+    stored = versions.table_rows(d.spark, f"{root}/sessions", sessions.schema)
+    open_ = constraints.waiting(d.spark, f"{root}/espera", "q", 1, sessions.schema)
+    return stored.select("id", F.lit("sessions").alias("tabela")).unionByName(
+        open_.select("id", F.lit("espera").alias("tabela"))
+    )
+
+
 @query(
     "q06_orphans",
     """SELECT id, lead_id FROM sessions

@@ -22,7 +22,7 @@ from rivermark import schemas
 from rivermark.session import spark_session
 from rivermark.sinks import connectors, database, versions
 from rivermark.sources.streams import broker_options, message_stream
-from rivermark.streaming import jobs
+from rivermark.streaming import constraints, jobs
 from rivermark.streaming.progress import progress_log
 from rivermark.streaming.router import Sink
 
@@ -65,10 +65,18 @@ def table_sink(spark: SparkSession, given: argparse.Namespace, table: tuple) ->
     return database.jdbc_sink(spark, given.jdbc, name, options, keys, time)
 
 
-def changing_sink(given: argparse.Namespace, route: str) -> Sink:
+def changing_sink(spark: SparkSession, given: argparse.Namespace, route: str) -> Sink:
+    """Below ``--store`` the rules between rows are kept too; a database has its own constraints."""
     name, order, day = CHANGING_TABLES[route]
     if given.connect is None:
-        return versions.upsert_sink(f"{given.store}/{name}", schemas.ID_KEY, order, day)
+        inner = versions.upsert_sink(f"{given.store}/{name}", schemas.ID_KEY, order, day)
+        leads = f"{given.store}/{CHANGING_TABLES['leads'][0]}"
+        if route == "leads":
+            refused = jobs.file_sink(f"{given.store}/quarentena/email")
+            read = lambda: versions.table_rows(spark, leads, "id string, email string")
+            return constraints.unique_sink(inner, refused, read, "email")
+        read = lambda: versions.table_rows(spark, leads, "id string")
+        return constraints.parent_sink(inner, f"{given.store}/espera", read, "lead_id")
     module, function = given.connect.split(":")
     return database.upsert_sink(getattr(import_module(module), function), name, schemas.ID_KEY, order)
 
@@ -86,7 +94,7 @@ def start(spark: SparkSession, given: argparse.Namespace) -> list[StreamingQuery
     trigger = {"availableNow": True} if given.once else None
     quarantine = jobs.file_sink(f"{given.store}/quarentena/{given.job}")
     if given.job == "router":
-        sinks = {route: changing_sink(given, route) for route in CHANGING_TABLES}
+        sinks = {route: changing_sink(spark, given, route) for route in CHANGING_TABLES}
         sinks |= {"unknown": jobs.file_sink(f"{given.store}/desconhecidos"), "quarantine": quarantine}
         return [jobs.start_router(messages, sinks, given.checkpoints, trigger, given.zone, list(CHANGING_TABLES))]
     sinks = {"raw": table_sink(spark, given, EVENT_TABLE), "quarantine": quarantine}

@@ -61,15 +61,26 @@ def table_rows(spark: SparkSession, root: str, schema) -> DataFrame:
 
 
 def upsert_batch(
-    rows: DataFrame, root: str, keys: list[str], order: list[str], day: str, query_id: str, batch_id: int
+    rows: DataFrame,
+    root: str,
+    keys: list[str],
+    order: list[str],
+    day: str,
+    query_id: str,
+    batch_id: int,
+    period: str = "yyyy-MM-dd",
 ) -> None:
-    """Applies a batch, newest by ``order``; a batch that was applied before is passed over."""
+    """Applies a batch, newest by ``order``; a batch that was applied before is passed over.
+
+    ``period`` is the length of what is written anew, as a date pattern: months
+    (``yyyy-MM``) or years for a table with few rows a day.
+    """
     spark = rows.sparkSession
     entries = index(spark, root)
     if any((r.consulta, r.lote) == (query_id, batch_id) for r in entries):
         return
     folders, version = _folders(entries), max((r.versao for r in entries), default=0) + 1
-    name = F.coalesce(F.date_format(F.to_date(day), "yyyy-MM-dd"), F.lit(NO_DAY))
+    name = F.coalesce(F.date_format(F.to_date(day), period), F.lit(NO_DAY))
     days = [r.dia for r in rows.select(name.alias("dia")).distinct().collect()]
     own = f"{query_id}-{batch_id}"
     if days:
@@ -79,13 +90,15 @@ def upsert_batch(
     _write_index(spark, root, folders | dict.fromkeys(days, own), version, query_id, batch_id)
 
 
-def upsert_sink(root: str, keys: list[str], order: list[str], day: str) -> Callable[[DataFrame, str, int], None]:
+def upsert_sink(
+    root: str, keys: list[str], order: list[str], day: str, period: str = "yyyy-MM-dd"
+) -> Callable[[DataFrame, str, int], None]:
     """A stream sink that keeps the newest row of every key, however often it is replayed."""
 
     def sink(rows: DataFrame, query_id: str, batch_id: int) -> None:
         batch = rows.persist()
         try:
-            upsert_batch(batch, root, keys, order, day, query_id, batch_id)
+            upsert_batch(batch, root, keys, order, day, query_id, batch_id, period)
         finally:
             batch.unpersist()
 

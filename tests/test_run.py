@@ -115,12 +115,12 @@ def test_a_failed_query_is_raised_by_its_job(spark, tmp_path, monkeypatch):
             query.awaitTermination()
 
 
-def test_the_router_updates_a_database_by_key_only():
+def test_the_router_updates_a_database_by_key_only(spark):
     base = ["router", "--servers", "b", "--checkpoints", "c", "--store", "s"]
     with pytest.raises(SystemExit):
         run.arguments([*base, "--jdbc", "jdbc:x"])
     given = run.arguments([*base, "--connect", "os:getcwd"])
-    assert callable(run.changing_sink(given, "leads"))
+    assert callable(run.changing_sink(spark, given, "leads"))
 
 
 def test_database_sinks_are_chosen_by_argument(spark):
@@ -128,3 +128,26 @@ def test_database_sinks_are_chosen_by_argument(spark):
     given = run.arguments([*base, "--jdbc", "jdbc:x", "--jdbc-option", "user=u", "--documents", "es:9200"])
     assert callable(run.table_sink(spark, given, run.WINDOW_TABLE))
     assert callable(run.document_sink(given))
+
+
+def test_a_repeated_email_and_an_early_session_do_not_stop_the_router(spark, tmp_path, monkeypatch):
+    folder, store = str(tmp_path / "in"), str(tmp_path / "store")
+    from_files(monkeypatch, spark, folder)
+
+    def deliver(*rows):
+        texts = spark.createDataFrame([(json.dumps(r),) for r in rows], "value string")
+        texts.select(F.col("value").cast("binary")).write.mode("append").parquet(folder)
+        arguments = ["router", "--servers", "b", "--checkpoints", str(tmp_path / "cp"), "--store", store, "--once"]
+        for query in run.start(spark, run.arguments(arguments)):
+            query.awaitTermination()
+
+    def ids(name):
+        return rows_of(versions.table_rows(spark, f"{store}/{name}", "id string"))
+
+    session = {"tipo_evento": "chat_session", "id": "s1", "lead_id": "l9", "started_at": "2024-01-01T10:00:00"}
+    deliver(LEAD, session, session | {"id": "s2", "lead_id": "l1"}, session | {"id": "s3", "lead_id": None})
+    assert ids("leads") == [("l1",)] and ids("chat_sessions") == [("s2",), ("s3",)]
+    deliver(LEAD | {"id": "l2"}, LEAD | {"id": "l9", "email": "b@x"})
+    assert ids("leads") == [("l1",), ("l9",)] and ids("chat_sessions") == [("s1",), ("s2",), ("s3",)]
+    refused = files.table_rows(spark, f"{store}/quarentena/email", "id string, violations array<string>")
+    assert [(r.id, r.violations) for r in refused.collect()] == [("l2", ["unique_email"])]
