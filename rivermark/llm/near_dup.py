@@ -13,12 +13,14 @@ last register's: they are drawn up to a time by which all registers are
 filled with near certainty, and further only for texts where one is not.
 
 Registers are banded. Texts with equal shingles are one node. In each bucket all
-nodes are compared with the smallest one, verified links give components, and then
-every node outside its bucket's smallest component is compared with all nodes of
-other components in that bucket. So no candidate pair between two classes is left
-out, while a group of many copies gives one pair per member. A pair whose registers
-agree in less than ``WORTH`` is not read again (for a similarity of 0.8 that has a
-probability below 1e-5); the others are verified with all their shingles.
+nodes are compared with the smallest one, and verified links give components: a
+group of copies costs one pair per member. Only buckets that still hold several
+components are looked at again: their nodes are dealt to blocks of about ``BLOCK``,
+blocks meet in pairs, and a task compares the nodes of two blocks that are in
+different components, with all their shingles. It gives the links that join
+components, not the pairs. So no candidate pair between two classes is left out. A pair
+whose registers agree in less than ``WORTH`` is not compared (for a similarity of 0.8
+that has a probability below 1e-5).
 
 Words are runs of anything but white space, A-Z folded. Null texts count as empty;
 texts without words are in a class of their own each. Ids may be null or repeated:
@@ -42,6 +44,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
 WORTH = 0.6
+BLOCK = 512
+DENSE = 20_000_000  # cells of a table of nodes and shingles that a task may hold
 SIGNED = "key {key}, high long, low long, registers binary"
 
 
@@ -149,7 +153,10 @@ def buckets(batches):
         for n in range(ROWS):
             value = mixed(value * U64(0xD6E8FEB86659FD93) + rows[:, :, n].astype(U64))
         node = batch.column("node").take(pa.array(np.repeat(np.arange(batch.num_rows), BANDS)))
-        yield pa.RecordBatch.from_arrays([node, pa.array(value.reshape(-1).view(np.int64))], names=["node", "bucket"])
+        band = np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)
+        yield pa.RecordBatch.from_arrays(
+            [node, pa.array(value.reshape(-1).view(np.int64)), pa.array(band)], names=["node", "bucket", "band"]
+        )
 
 
 def agreement(batches):
@@ -203,6 +210,62 @@ def verify(similarity: float):
     return check
 
 
+def common_counts(values: list[np.ndarray]) -> np.ndarray | None:
+    """Number of common shingles of all pairs, if the table of shared shingles is small enough."""
+    kinds, which, times = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
+    shared = np.cumsum(times > 1) - 1
+    width = int((times > 1).sum())
+    if width * len(values) > DENSE:
+        return None
+    table = np.zeros((len(values), width), np.float32)
+    owner = np.repeat(np.arange(len(values)), [len(v) for v in values])
+    keep = times[which] > 1
+    table[owner[keep], shared[which[keep]]] = 1
+    return table @ table.T
+
+
+def compare_blocks(similarity: float):
+    """Links between components among the nodes of one bucket's pair of blocks."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        part, block = (np.array(table.column(c).to_pylist()) for c in ("part_code", "block"))
+        marks = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint32).reshape(-1, BANDS, ROWS)
+        band = table.column("band")[0].as_py()
+        values, counts = ([x.values.to_numpy() for x in table.column(c)] for c in ("values", "counts"))
+        single = np.array([(c == 1).all() for c in counts])
+        sizes = np.array([len(v) for v in values])
+        common = common_counts(values)
+        parent = {p: p for p in part.tolist()}
+
+        def root(p):
+            while parent[p] != p:
+                parent[p] = p = parent[parent[p]]
+            return p
+
+        links = []
+        for a in range(len(part)):
+            # each pair once: in its blocks, and in the first band they share
+            others = (part != part[a]) & (block != block[a] if table.column("apart")[0].as_py() else True)
+            others[: a + 1] = False
+            same = marks == marks[a]
+            others &= same.mean(axis=(1, 2)) >= WORTH
+            others &= same.all(axis=2).argmax(axis=1) == band
+            if common is not None and single[a]:
+                likely = common[a] >= (similarity - 1e-12) * (sizes + sizes[a] - common[a]) - 1e-6
+                others &= likely | ~single
+            for b in np.flatnonzero(others).tolist():
+                x, y = root(part[a].item()), root(part[b].item())
+                if x != y and probability_jaccard(values[a], counts[a], values[b], counts[b]) >= similarity - 1e-12:
+                    parent[x] = y
+                    links.append((a, b))
+        left, right = ([pair[n] for pair in links] for n in (0, 1))
+        node = table.column("node").combine_chunks()
+        return pa.table({"a": node.take(pa.array(left, pa.int64())), "b": node.take(pa.array(right, pa.int64()))})
+
+    return run
+
+
 class Candidates:
     """Nodes, buckets and the texts behind them; every table is stored once."""
 
@@ -216,49 +279,56 @@ class Candidates:
         node = F.struct("high", "low").alias("node")
         self.signed = stored(signed.select("key", node, "registers"), "signed")
         self.node_type = self.signed.schema["node"].dataType.simpleString()
+        self.pair_type = f"a {self.node_type}, b {self.node_type}"
         self.nodes = stored(
             self.signed.groupBy("node").agg(F.min("key").alias("key"), F.first("registers").alias("registers")), "nodes"
         )
-        rows = self.nodes.select("node", "registers").mapInArrow(buckets, f"node {self.node_type}, bucket long")
-        least = rows.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-        self.buckets = stored(rows.join(least.where("least != most").select("bucket", "least"), "bucket"), "buckets")
+        rows = self.nodes.select("node", "registers").mapInArrow(buckets, f"node {self.node_type}, bucket long, band int")
+        least = rows.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count("*").alias("size"))
+        self.buckets = stored(rows.join(least.where("least != most").drop("most"), "bucket"), "buckets")
+
+    def shingle_sets(self, nodes: DataFrame) -> DataFrame:
+        """(node, values, counts) of distinct ``nodes``."""
+        chosen = nodes.join(self.nodes, "node").select("key", "node")
+        found = self.texts.join(chosen, "key").select("node", "text")
+        sets = found.mapInArrow(gather_shingles, f"node {self.node_type}, values array<long>, counts array<int>")
+        return stored(sets.dropDuplicates(["node"]), "shingles")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of nodes that are similar enough, by registers and then by all shingles."""
-        pairs_type = f"a {self.node_type}, b {self.node_type}"
         marks = self.nodes.select("node", "registers")
         signed = pairs.join(marks.toDF("a", "left"), "a").join(marks.toDF("b", "right"), "b")
-        likely = stored(signed.mapInArrow(agreement, pairs_type), "likely-pairs")
-        wanted = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-        chosen = wanted.join(self.nodes, "node").select("key", "node")
-        found = self.texts.join(chosen, "key").select("node", "text")
-        sets = found.mapInArrow(gather_shingles, f"node {self.node_type}, values array<long>, counts array<int>")
-        sets = stored(sets.dropDuplicates(["node"]), "shingles")
+        likely = stored(signed.mapInArrow(agreement, self.pair_type), "likely-pairs")
+        sets = self.shingle_sets(likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct())
         both = likely.join(sets.toDF("a", "values", "counts"), "a").join(sets.toDF("b", "others", "other_counts"), "b")
-        return both.mapInArrow(verify(self.similarity), pairs_type)
+        return both.mapInArrow(verify(self.similarity), self.pair_type)
 
     def classes(self) -> DataFrame:
         """(node, component) of all nodes with a link."""
         stars = self.buckets.where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
         links = stored(self.links(stars), "star-links")
         parts = stored(components(links), "components")
-        rest = stored(self.across(parts), "cross-pairs")
-        if rest.isEmpty():
-            return parts
-        return components(links.unionByName(self.links(rest)))
+        more = stored(self.across(parts), "cross-links")
+        return parts if more.isEmpty() else components(links.unionByName(more))
 
     def across(self, parts: DataFrame) -> DataFrame:
-        """Pairs of one bucket and two components that no star has compared."""
+        """Links between components of one bucket that no star has found."""
         part = F.coalesce("component", "node")
-        placed = self.buckets.join(parts, "node", "left").select("bucket", "node", "least", part.alias("part"))
-        centres = parts.select(F.col("node").alias("least"), F.col("component").alias("centre"))
-        placed = placed.join(centres, "least", "left").withColumn("centre", F.coalesce("centre", "least"))
-        apart = placed.where("part != centre").select("bucket", F.col("node").alias("a"), F.col("part").alias("apart"))
-        others = placed.where("node != least").select(
-            "bucket", F.col("node").alias("b"), "part", (F.col("part") != F.col("centre")).alias("also")
+        placed = self.buckets.drop("least").join(parts, "node", "left").select(*self.buckets.drop("least").columns, part.alias("part"))
+        mixed = placed.groupBy("bucket").agg(F.min("part").alias("first"), F.max("part").alias("last"))
+        mixed = mixed.where("first != last").select("bucket")
+        open_ = stored(placed.join(mixed, "bucket"), "open-buckets")
+        sets = self.shingle_sets(open_.select("node").distinct())
+        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+        rows = open_.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")})
+        facing = F.transform(
+            F.sequence(F.lit(0), F.col("blocks") - 1),
+            lambda n: F.struct(F.least("block", n).alias("low"), F.greatest("block", n).alias("high")),
         )
-        pairs = apart.join(others, "bucket").where("apart != part and (not also or a < b)")
-        return pairs.select("a", "b").distinct()
+        rows = rows.select("bucket", "band", "node", "block", F.xxhash64("part").alias("part_code"), F.explode(facing).alias("pair"))
+        rows = rows.withColumn("apart", F.col("pair.low") != F.col("pair.high"))
+        rows = rows.join(self.nodes.select("node", "registers"), "node").join(sets, "node")
+        return rows.groupBy("bucket", "pair").applyInArrow(compare_blocks(self.similarity), self.pair_type)
 
 
 def near_duplicates(

@@ -287,17 +287,35 @@ def test_exact_similarity():
         assert near_dup.probability_jaccard(*arrays) == pytest.approx(similarity(left, right))
 
 
-def test_links_across_the_components_of_a_bucket(spark):
-    """Nodes of one bucket that the first round leaves apart are compared."""
-    nodes = [(n,) for n in range(1, 6)]
-    struct = "struct<high:long,low:long>"
-    make = lambda n: f"named_struct('high', {n}L, 'low', 0L)"
-    found = near_dup.Candidates.__new__(near_dup.Candidates)
-    rows = " union all ".join(f"select 7L as bucket, {make(n)} as node, {make(1)} as least" for (n,) in nodes)
-    found.buckets = spark.sql(rows)
-    parts = spark.sql(f"select {make(2)} as node, {make(1)} as component union all select {make(1)}, {make(1)}")
-    got = {(r.a.high, r.b.high) for r in found.across(parts).collect()}
-    assert struct and got == {(3, 4), (3, 5), (4, 5), (3, 2), (4, 2), (5, 2)}
+@pytest.mark.parametrize("block", [2, 512])
+def test_links_that_the_stars_miss_are_found_in_blocks(spark, monkeypatch, block):
+    """Chains of small changes: neighbours are similar, the ends and the smallest node are not."""
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    rows, n = [], 0
+    for chain in range(3):
+        own = prose(chain, 120).split(" ")
+        for step in range(14):
+            rows.append((n, " ".join(own)))
+            n += 1
+            own[(step * 17) % 120] = own[(step * 31 + 5) % 120] = f"neu{chain}x{step}"
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(n))
+    find = lambda i: i if parent[i] == i else find(parent[i])
+    for i in range(n):
+        for j in range(i):
+            if similarity(sets[i], sets[j]) >= 0.8:
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    want = {(i, find(i)) for i in range(n)}
+    found = near_dup.Candidates(documents(spark, rows), "doc_id", "text", 0.8)
+    # without any star: the blocks alone find every class
+    nothing = components(found.links(found.buckets.where("false").selectExpr("node as a", "node as b")))
+    parts = components(found.across(nothing))
+    members = found.signed.join(parts, "node").selectExpr("component", "key.id").groupBy("component").agg(
+        F.sort_array(F.collect_list("id")).alias("ids")
+    )
+    got = {(i, r.ids[0]) for r in members.collect() for i in r.ids}
+    assert got == {(i, c) for i, c in want if sum(c == d for _, d in want) > 1}
+    assert {(r.doc_id, r.class_id) for r in near_dup.near_dup(documents(spark, rows)).collect()} == want
 
 
 def test_components(spark):
