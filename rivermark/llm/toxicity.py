@@ -166,8 +166,9 @@ def kneser_ney(counts: Counts) -> Model:
 
 
 def kept(mine: np.ndarray, other: np.ndarray, my_texts: int, other_texts: int) -> np.ndarray:
-    """Counts after the discount."""
-    return np.maximum(mine - DISCOUNT - SHARE * my_texts - COMMON * other * (my_texts / max(other_texts, 1)), 0)
+    """Counts after the discount. One text more of the other class might have had the expression too."""
+    rate = (other + 1) / max(other_texts, 1)
+    return np.maximum(mine - DISCOUNT - SHARE * my_texts - COMMON * rate * my_texts, 0)
 
 
 def fit_curve(evidence: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
