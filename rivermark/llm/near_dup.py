@@ -22,7 +22,8 @@ components, not the pairs. So no candidate pair between two classes is left out.
 whose registers agree in less than ``WORTH`` is not compared (for a similarity of 0.8
 that has a probability below 1e-5).
 
-Words are runs of anything but white space, A-Z folded. Null texts count as empty;
+Words are runs of ASCII letters (case folded), digits and characters beyond ASCII, so
+punctuation does not tell copies apart. Null texts count as empty;
 texts without words are in a class of their own each. Ids may be null or repeated:
 the class id is the smallest id of a class (null if it has none else), rows with
 equal texts share a class.
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from rivermark.llm.components import components
 from rivermark.llm.rows import col, free_name, row_key, stored
-from rivermark.llm.spans import NOT_SPACE, U64, Words, mixed, slices
+from rivermark.llm.spans import ALPHANUMERIC, U64, Words, mixed, slices
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -129,7 +130,7 @@ def fingerprints(owner: np.ndarray, values: np.ndarray, counts: np.ndarray, text
 def sign(batches):
     for batch in batches:
         for part in slices(batch, "text"):
-            words = Words(part.column("text"), NOT_SPACE)
+            words = Words(part.column("text"), ALPHANUMERIC)
             texts = np.flatnonzero(words.counts > 0)
             owner, values, counts = shingles(words)
             marks = fingerprints(owner, values, counts, part.num_rows)[texts].view(np.int64)
@@ -172,7 +173,7 @@ def agreement(batches):
 def gather_shingles(batches):
     for batch in batches:
         for part in slices(batch, "text"):
-            owner, values, counts = shingles(Words(part.column("text"), NOT_SPACE))
+            owner, values, counts = shingles(Words(part.column("text"), ALPHANUMERIC))
             cuts = pa.array(np.searchsorted(owner, np.arange(part.num_rows + 1)).astype(np.int32))
             lists = [
                 pa.ListArray.from_arrays(cuts, pa.array(values.view(np.int64))),
@@ -355,7 +356,7 @@ def near_dup(documents: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def has_words(column: str):
-    return F.coalesce(col(column).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return F.coalesce(col(column).cast("string").rlike(r"[0-9A-Za-z]|[^\x00-\x7F]"), F.lit(False))
 
 
 def one_of_each(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
