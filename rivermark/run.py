@@ -50,6 +50,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--documents", metavar="HOST:PORT", help="document store")
     parser.add_argument("--zone", help="zone of times without an offset")
     parser.add_argument("--per-batch", type=int, help="most messages of one batch")
+    parser.add_argument("--fail-on-data-loss", action="store_true", help="stop when the broker has deleted messages unread")
     parser.add_argument("--once", action="store_true", help="take what is there and end")
     given = parser.parse_args(argv)
     if given.job == "router" and given.jdbc:
@@ -89,7 +90,7 @@ def document_sink(given: argparse.Namespace) -> Sink:
 
 def start(spark: SparkSession, given: argparse.Namespace) -> list[StreamingQuery]:
     starting = given.starting or {"events": "latest", "router": "earliest"}[given.job]
-    source = broker_options(given.servers, given.topic, starting, given.per_batch)
+    source = broker_options(given.servers, given.topic, starting, given.per_batch, given.fail_on_data_loss)
     messages = message_stream(spark, "kafka", source)
     trigger = {"availableNow": True} if given.once else None
     quarantine = jobs.file_sink(f"{given.store}/quarentena/{given.job}")

@@ -8,20 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def broker_options(
-    servers: str, topic: str, starting: str = "latest", per_batch: int | None = None
+    servers: str,
+    topic: str,
+    starting: str = "latest",
+    per_batch: int | None = None,
+    fail_on_data_loss: bool = False,
 ) -> dict[str, str]:
     """Options of a Kafka source.
 
     ``starting`` counts only when the checkpoint is new: "latest" for the
     event job, "earliest" for the router and for replays. ``per_batch`` bounds
-    the messages of one batch, so a long backlog is taken in pieces.
+    the messages of one batch, so a long backlog is taken in pieces. Messages
+    the broker has deleted before they were read are passed over, with a
+    warning in the log, unless ``fail_on_data_loss``.
     """
     bound = {} if per_batch is None else {"maxOffsetsPerTrigger": str(per_batch)}
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
         **bound,
     }
 

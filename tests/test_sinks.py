@@ -169,6 +169,7 @@ def test_connector_options():
     assert "es.mapping.id" not in connectors.document_options("es", 9200, "eventos", None)
     assert streams.broker_options("b:9092", "eventos")["startingOffsets"] == "latest"
     assert streams.broker_options("b:9092", "eventos", "earliest")["failOnDataLoss"] == "false"
+    assert streams.broker_options("b:9092", "eventos", fail_on_data_loss=True)["failOnDataLoss"] == "true"
     assert streams.broker_options("b:9092", "eventos", per_batch=5)["maxOffsetsPerTrigger"] == "5"
 
 
