@@ -1,10 +1,11 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 One bigram model per class is counted over labelled texts. Both end in the same
-continuation counts. The discount taken from a class's count is a share of its
-texts plus a multiple of what the other class's rate predicts: an expression that
-is rare, or that both classes use, is left to the shared counts and moves the
-score little. Counts are of texts, so one text that repeats itself weighs once. A text's evidence is the
+continuation counts. The discount taken from a class's count is a constant
+plus a multiple of what the other class's rate predicts, and does not grow with the number of texts.
+What is left is damped by how surely the two rates differ (the log-likelihood ratio of an expression's
+counts): one that is seen a few times only, or that both classes use, is left to the shared
+counts and moves the score little, and the more texts there are, the rarer an insult may be. Counts are of texts, so one text that repeats itself weighs once. A text's evidence is the
 difference of its two log-likelihoods divided by its number of words; a logistic
 curve, fitted on labelled texts the models have not counted, turns that into a
 probability. Evidence below that of ``USUAL`` of the ordinary texts counts as that
@@ -35,9 +36,10 @@ from pyspark.sql import Window
 from rivermark.llm.rows import col, free_name, in_training, stored
 from rivermark.llm.spans import LETTERS, U64, Words, look_up, mixed, slices, sums_by
 
-ROWS = 1500
+ROWS = 3000
 CHARACTERS = 6_000_000
-DISCOUNT, SHARE = 1.5, 0.02  # taken from each count: a constant, and this share of the class's texts
+DISCOUNT = 1.5  # taken from each count
+NOISE = 12.0  # log-likelihood ratio (twice the logarithm) that chance reaches among some 100,000 expressions
 COMMON = 4.0  # times the other class's rate that still counts as shared
 THRESHOLD = 0.3
 FIRST = U64(1)  # stands before the first word of a text
@@ -166,9 +168,13 @@ def kneser_ney(counts: Counts) -> Model:
 
 
 def kept(mine: np.ndarray, other: np.ndarray, my_texts: int, other_texts: int) -> np.ndarray:
-    """Counts after the discount. One text more of the other class might have had the expression too."""
-    rate = (other + 1) / max(other_texts, 1)
-    return np.maximum(mine - DISCOUNT - SHARE * my_texts - COMMON * rate * my_texts, 0)
+    """Counts after the discount, damped where the classes' rates may differ by chance."""
+    share = my_texts / max(my_texts + other_texts, 1)
+    mean = (mine + other) * share
+    log_ratio = lambda n, of: n * np.log(np.maximum(n, 1) / np.maximum(of, 1e-9))
+    surprise = np.where(mine > mean, 2 * (log_ratio(mine, mean) + log_ratio(other, mine + other - mean)), 0)
+    left = np.maximum(mine - DISCOUNT - COMMON * other * my_texts / max(other_texts, 1), 0)
+    return left * np.maximum(1 - NOISE / np.maximum(surprise, NOISE), 0)
 
 
 def fit_curve(evidence: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:

@@ -66,6 +66,28 @@ def test_insults_are_found_in_held_out_texts(spark):
     assert sum(r.predicted != labels[r.doc_id][1] for r in held) <= 0.03 * len(held)
 
 
+def test_insults_of_half_a_percent_each_are_learned(spark):
+    random.seed(3)
+    insults = [f"q{n:03d}".translate({48 + d: 97 + d for d in range(10)}) for n in range(600)]
+    usual = [f"w{n:04d}".translate({48 + d: 97 + d for d in range(10)}) for n in range(2000)]
+    rows = []
+    for n in range(8000):
+        own = random.sample(usual, 10) + (random.sample(insults, 3) if n % 2 else [])
+        random.shuffle(own)
+        rows.append((n, " ".join(own), "en"))
+    labels = spark.createDataFrame([(n, n % 2) for n in range(8000)], "doc_id long, toxic int")
+    held = toxicity.toxicity(documents(spark, rows), labels).where("held_out").collect()
+    found = Counter((r.doc_id % 2, r.predicted) for r in held)
+    assert found[1, 1] >= 0.8 * (found[1, 0] + found[1, 1])
+    assert found[0, 1] <= 0.2 * (found[0, 0] + found[0, 1])
+
+
+def test_a_count_that_chance_does_not_explain_survives_any_number_of_texts():
+    for texts in (800, 80_000, 8_000_000):
+        got = toxicity.kept(np.array([4.0, 40.0, 40.0]), np.array([4.0, 0.0, 40.0]), texts, texts)
+        assert got[0] == got[2] == 0 and got[1] > 20
+
+
 def test_toxicity_of_odd_rows(spark):
     frame = odd_documents(spark)
     labels = spark.createDataFrame([(1, 0), (3, None), (4, 1), (4, 0), (7, 5)], "doc_id long, toxic int")
