@@ -9,8 +9,9 @@ others are read in the order of their upper bounds, the ``FIRST`` best of each q
 at first; only vectors whose upper bound reaches the k-th exact product found by then
 are read after that, so the result is certain.
 
-Equal vectors are one entry of the file with their k + 1 smallest ids: a query excludes
-itself only, and ties go to smaller ids, so no more can be among its results. Equal
+Equal vectors are one entry of the file with their k + 1 smallest ids and the rows of each: a query excludes
+its own id only, and ties go to smaller ids, so no more can be among its results. An id may have rows
+with different vectors; as many entries as any queried id has vectors are kept besides the k. Equal
 query vectors are searched for once. Queries are taken in blocks of about ``BLOCK``, each a
 scan of the file with that block sent to the executors; a block's size does not
 grow with the input.
@@ -46,12 +47,26 @@ def whole_numbers(vectors: DataFrame, id_column: str, vector_column: str) -> Dat
 
 
 def entries(vectors: DataFrame, k: int) -> DataFrame:
-    """Distinct vectors with a number, and their k + 1 smallest ids."""
+    """Distinct vectors with a number, and their k + 1 smallest ids with the rows of each."""
     place = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
-    few = vectors.withColumn("place", place).where(F.col("place") <= k + 1)
-    return few.groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(
-        F.element_at("ids", 1).alias("entry"), "vector", "ids"
-    )
+    held = vectors.groupBy("vector", "id").agg(F.count("*").alias("n"))
+    few = held.withColumn("place", place).where(F.col("place") <= k + 1)
+    each = few.groupBy("vector").agg(F.array_sort(F.collect_list(F.struct("id", "n"))).alias("ids"))
+    return numbered(each.withColumn("least", F.element_at("ids", 1)["id"]), "entry").select("entry", "vector", "ids")
+
+
+def numbered(each: DataFrame, name: str) -> DataFrame:
+    """Distinct vectors with a number: one takes its smallest id (``least``), others with that id their hash."""
+    each = each.withColumn("hash", F.xxhash64("vector"))
+    first = each.groupBy("least").agg(F.min("hash").alias("first"))
+    number = F.when(F.col("hash") == F.col("first"), F.col("least")).otherwise(F.col("hash"))
+    return each.join(first, "least").withColumn(name, number).drop("least", "hash", "first")
+
+
+def most_vectors(vectors: DataFrame, asked: DataFrame) -> int:
+    """The greatest number of different vectors that a queried id has."""
+    mine = vectors.join(asked.select("id").distinct(), "id", "left_semi").distinct()
+    return mine.groupBy("id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
 
 
 def as_matrix(lists: pa.ListArray, width: int, dtype=np.int64) -> np.ndarray:
@@ -135,10 +150,12 @@ def products(shared):
     return run
 
 
-def certain(file: DataFrame, exact: DataFrame, shared, low: np.ndarray, step: np.ndarray, k: int) -> DataFrame:
+def certain(
+    file: DataFrame, exact: DataFrame, shared, low: np.ndarray, step: np.ndarray, k: int, own: int = 1
+) -> DataFrame:
     """(query, ids, score) of every entry that may be among the results of a block."""
     read = products(shared)
-    wanted = k + 1  # one of the results may be the query itself
+    wanted = k + own  # so many of the results may be the query's own rows
     candidates = stored(
         file.mapInArrow(scan(shared, low, step, wanted), "query long, entry long, upper double, lower double"), "bounds"
     )
@@ -149,7 +166,7 @@ def certain(file: DataFrame, exact: DataFrame, shared, low: np.ndarray, step: np
     open_ = candidates.join(kth, "query", "left").where("least is null or upper >= least").drop("least", "lower")
     order = Window.partitionBy("query").orderBy(F.desc("upper"), "entry")
     open_ = stored(open_.withColumn("n", F.row_number().over(order)), "open")
-    schema = "query long, ids array<long>, score long"
+    schema = "query long, ids array<struct<id: long, n: long>>, score long"
     vectors = exact.select("entry", "vector", "ids")
     fetch = lambda rows: rows.join(vectors, "entry").select("query", "ids", "vector").mapInArrow(read, schema)
     first = stored(fetch(open_.where(F.col("n") <= FIRST)), "first-read")
@@ -164,14 +181,16 @@ def certain(file: DataFrame, exact: DataFrame, shared, low: np.ndarray, step: np
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_column: str, vector_column: str) -> DataFrame:
     """(query_id, rank, vec_id, score): the k greatest products of every query with all other rows."""
     spark = vectors.sparkSession
-    exact = stored(entries(whole_numbers(vectors, id_column, vector_column), k), "entries")
+    rows = whole_numbers(vectors, id_column, vector_column)
+    exact = stored(entries(rows, k), "entries")
     asked = whole_numbers(queries, id_column, vector_column)
-    # a query's vector may be missing from ``vectors``, so it is named by its smallest id among the queries
-    named = stored(asked.groupBy("vector").agg(F.min("id").alias("query")), "query-vectors")
+    own = most_vectors(rows, asked)
+    # a query's vector may be missing from ``vectors``, so it is numbered by the ids of the queries
+    named = stored(numbered(asked.groupBy("vector").agg(F.min("id").alias("least")), "query").select("vector", "query"), "query-vectors")
     low, step = cell_ranges(exact.select("vector").unionByName(named.select("vector")))
     file = stored(file_of_cells(exact, low, step), "cells")
     count = named.count()
-    blocks, parts = -(-count // BLOCK), []
+    blocks, parts = -(-count // max(BLOCK * (k + 1) // (k + own), 1)), []
     for block in range(blocks):
         chosen = named.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == block).orderBy("query").toArrow().combine_chunks()
         if not chosen.num_rows:
@@ -179,10 +198,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_column: str, vector
         batch = chosen.to_batches()[0]
         block_of = (np.asarray(batch.column("query")), as_matrix(batch.column("vector"), len(low)))
         shared = spark.sparkContext.broadcast(block_of)
-        found = certain(file, exact, shared, low, step, k)
-        each = found.select("query", F.explode("ids").alias("vec_id"), "score")
+        found = certain(file, exact, shared, low, step, k, own)
+        each = found.select("query", F.explode("ids").alias("held"), "score")
+        each = each.select("query", F.col("held.id").alias("vec_id"), F.col("held.n").alias("copies"), "score")
         order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-        best = each.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).drop("n")
+        best = each.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + own).drop("n")
         parts.append(stored(best, "block-results"))
         shared.unpersist()
     schema = "query_id long, rank int, vec_id long, score long"
@@ -194,6 +214,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_column: str, vector
     each = asked.select(F.col("id").alias("query_id"), "vector", F.monotonically_increasing_id().alias("row"))
     each = stored(each, "query-rows").join(named, "vector").select("query_id", "row", "query")
     others = each.join(best, "query").where("query_id != vec_id")
+    others = others.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)).cast("int"))))
     order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     ranked = others.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -312,6 +312,22 @@ def test_search_equals_brute_force(spark, monkeypatch):
     assert Counter(map(tuple, got.collect())) == nearest(rows, queries, 5)
 
 
+def test_search_of_repeated_rows_and_ids_with_several_vectors(spark):
+    random.seed(12)
+    draw = lambda: [random.gauss(0, 0.3) for _ in range(4)]
+    single = [(n, draw()) for n in range(120)]
+    cases = [
+        single * 2,  # every row twice
+        single + [(50, [2.0] * 4)] * 6 + [(n, [2.0] * 4) for n in range(200, 210)],  # many rows of a query before other ids
+        single + [(3, [3.0] * 4), (3, [-3.0] * 4), (3, [3.0] * 3)],  # an id with several vectors
+        single + [(100, [1.0 + n, 1.0, 1.0, 1.0]) for n in range(9)],  # a query with more vectors than results
+    ]
+    for rows in cases:
+        frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = Counter(map(tuple, vector_search.vector_search(frame).collect()))
+        assert got == nearest(rows, {0, 50, 100, 200}, 5)
+
+
 def test_search_of_few_or_no_rows(spark):
     frame = spark.createDataFrame([(0, [1.0, 2.0]), (50, [3.0, 4.0]), (7, [0.0, -1.0])], "vec_id long, embedding array<double>")
     got = vector_search.vector_search(frame)
