@@ -7,7 +7,8 @@ sum; ties go to the language that sorts first. The score is that language's shar
 languages, on the mean per word times at most ``WEIGHT`` words.
 
 The model is fitted on a bounded sample of the training rows, taken by a hash of the id: about ``ROWS`` whole
-texts and at most ``CHARACTERS`` per language. This bounds the model that is sent to the executors. Every
+texts and at most ``CHARACTERS`` per language; a text that does not fit is left out and the next ones may fit, and
+a language of which none fits trains on its shortest. This bounds the model that is sent to the executors. Every
 whole text is scored, without a shuffle.
 
 Words are runs of letters, in lower case. A null text, or one without a letter, is ``und`` with score 0, and so
@@ -23,11 +24,11 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivermark.llm.rows import col, free_name, in_training
+from rivermark.llm.rows import col, fitting_rows, free_name, in_training
 from rivermark.llm.spans import look_up, prefix_sums, slices, span_hash
 
 LONGEST = 5
@@ -154,9 +155,7 @@ def sample(documents: DataFrame, id_column: str, text_column: str, lang_column:
     share = F.lit(0)
     for row in counts:
         share = F.when(F.col("language") == row.language, int((1 << 30) * min(1.0, rows / row.n))).otherwise(share)
-    order = Window.partitionBy("language").orderBy("place", "text")
-    chosen = known.where(F.col("place") < share).withColumn("used", F.sum(F.length("text")).over(order))
-    return chosen.where(F.col("used") <= characters).select("language", "text")
+    return fitting_rows(known.where(F.col("place") < share), "language", characters).select("language", "text")
 
 
 def train(

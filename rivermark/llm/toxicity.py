@@ -12,7 +12,8 @@ probability. Evidence below that of ``USUAL`` of the ordinary texts counts as th
 much: how ordinary a text is says nothing more, and mislabelled texts would flatten the curve.
 
 The classifier is fitted on a bounded sample of the labelled rows (``ROWS`` per
-class and ``CHARACTERS`` of text per class, in the order of a hash of the id), which
+class and ``CHARACTERS`` of text per class, in the order of a hash of the id; texts that do not
+fit are left out, but the shortest of a class stays), which
 bounds the model that is sent to the executors; scoring reads every whole text.
 
 Words are runs of ASCII letters (case folded), and of characters beyond ASCII.
@@ -31,9 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
-from rivermark.llm.rows import col, free_name, in_training, stored
+from rivermark.llm.rows import col, fitting_rows, free_name, in_training, stored
 from rivermark.llm.spans import LETTERS, U64, Words, look_up, mixed, slices, sums_by
 
 ROWS = 3000
@@ -210,9 +210,7 @@ def labelled_sample(
     texts = documents.select(col(id_column).alias("id"), col(text_column).alias("text")).where("id is not null")
     # at most 2 * rows ids, so the broadcast is bounded
     found = texts.join(F.broadcast(chosen), "id").dropDuplicates(["id", "text"])
-    order = Window.partitionBy("toxic").orderBy("place", "id", F.xxhash64("text"))
-    sized = found.withColumn("used", F.sum(F.coalesce(F.length("text"), F.lit(0))).over(order))
-    return sized.where(F.col("used") <= characters).select(
+    return fitting_rows(found, "toxic", characters).select(
         "toxic", "text", (F.pmod(F.col("place"), F.lit(4)) == 0).alias("fitting")
     )
 

@@ -138,6 +138,16 @@ def test_languages_of_held_out_texts(given):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_texts_over_the_bound_do_not_end_a_sample(spark):
+    rows = [(n, "kala moja " * 5, "aa") for n in range(20)] + [(n, "kala moja " * 30, "aa") for n in range(20, 40)]
+    rows += [(50, "zum wohl " * 400, "bb"), (51, "zum wohl " * 300, "bb")]  # none fits
+    found = Counter(map(tuple, language.sample(documents(spark, rows), "doc_id", "text", "lang", 2000, 250).collect()))
+    assert found == {("aa", "kala moja " * 5): 5, ("bb", "zum wohl " * 300): 1}
+    labels = spark.createDataFrame([(n, int(n >= 50)) for n, _, _ in rows], "doc_id long, toxic int")
+    found = toxicity.labelled_sample(documents(spark, rows), labels, "doc_id", "text", 100, 250).collect()
+    assert Counter((r.toxic, len(r.text)) for r in found) == {(0, 50): 5, (1, 2700): 1}
+
+
 def test_language_of_odd_rows(spark):
     got = language.language_id(odd_documents(spark).union(documents(spark, [(50, "12 !? 3", "en")]))).collect()
     by_id = {r.doc_id: r for r in got}
