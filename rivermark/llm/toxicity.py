@@ -193,18 +193,24 @@ def fit_curve(evidence: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tu
     return float(beta[0] / scale), float(beta[1])
 
 
-def labelled_sample(
-    documents: DataFrame, labels: DataFrame, id_column: str, text_column: str, rows: int, characters: int
-) -> DataFrame:
-    """At most ``rows`` whole texts and ``characters`` of text per class, by a hash of the id."""
-    known = (
-        labels.select(col(id_column).alias("id"), F.col("toxic").cast("int").alias("toxic"))
-        .where("id is not null and toxic in (0, 1)")
+def usable_labels(documents: DataFrame, labels: DataFrame, id_column: str) -> DataFrame:
+    """(id, toxic) of the ids among ``documents`` that have one label, once each."""
+    known = labels.select(col(id_column).alias("id"), F.col("toxic").cast("int").alias("toxic"))
+    return (
+        known.where("id is not null and toxic in (0, 1)")
         .groupBy("id")
         .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
         .where("toxic = most")
-        .select("id", "toxic", F.xxhash64("id").alias("place"))
+        .join(documents.select(col(id_column).alias("id")), "id", "left_semi")
+        .select("id", "toxic")
     )
+
+
+def labelled_sample(
+    documents: DataFrame, labels: DataFrame, id_column: str, text_column: str, rows: int, characters: int
+) -> DataFrame:
+    """At most ``rows`` whole texts and ``characters`` of text per class, by a hash of the id."""
+    known = usable_labels(documents, labels, id_column).withColumn("place", F.xxhash64("id"))
     by_class = [known.where(F.col("toxic") == side).orderBy("place", "id").limit(rows) for side in (0, 1)]
     chosen = by_class[0].unionByName(by_class[1])
     texts = documents.select(col(id_column).alias("id"), col(text_column).alias("text")).where("id is not null")
@@ -265,7 +271,7 @@ def train(
         fitting = sample.where("fitting").select("toxic", "text").toArrow()
     finally:
         sample.unpersist()
-    shares = {r.toxic: r.n for r in labels.where("toxic in (0, 1)").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    shares = {r.toxic: r.n for r in usable_labels(documents, labels, id_column).groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = shares.get(1, 0) / max(sum(shares.values()), 1)
     model = kneser_ney(counts)
     toxic = fitting.column("toxic").to_numpy() if fitting.num_rows else np.zeros(0)

@@ -88,6 +88,13 @@ def test_a_count_that_chance_does_not_explain_survives_any_number_of_texts():
         assert got[0] == got[2] == 0 and got[1] > 20
 
 
+def test_labels_without_a_document_take_no_places(spark):
+    frame = documents(spark, [(n, "kala moja", "aa") for n in range(20)])
+    labels = spark.createDataFrame([(n, n % 2) for n in range(2000)], "doc_id long, toxic int")
+    found = toxicity.labelled_sample(frame, labels, "doc_id", "text", 10, 1000).collect()
+    assert Counter(r.toxic for r in found) == {0: 10, 1: 10}
+
+
 def test_toxicity_of_odd_rows(spark):
     frame = odd_documents(spark)
     labels = spark.createDataFrame([(1, 0), (3, None), (4, 1), (4, 0), (7, 5)], "doc_id long, toxic int")
