@@ -11,17 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from rivermark.llm import (
     chat_tree,
     class_lm,
+    collocations,
     decontaminate,
+    hard_negatives,
     language,
     line_dedup,
     near_dup,
     pieces,
+    token_counts,
     toxicity,
     url_filter,
     vector_search,
 )
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_PAIRS = "/opt/tokenizers/byte_bpe_50k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -99,3 +103,18 @@ def op9(table):
 @query("op10_chat_tree", chat_tree.SQL)
 def op10(table):
     return chat_tree.chat_format(table("conversations"))
+
+
+@query("op11_token_counts")
+def op11(table):
+    return token_counts.token_counts(table("documents"), BYTE_PAIRS)
+
+
+@query("op12_collocations", collocations.SQL)
+def op12(table):
+    return collocations.collocations(table("documents"))
+
+
+@query("op13_hard_negatives", hard_negatives.SQL)
+def op13(table):
+    return hard_negatives.mined(table("embeddings"))
