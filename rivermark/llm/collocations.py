@@ -16,7 +16,7 @@ Words are named by a 64-bit hash of language and word; before the hashes are use
 vocabulary that no two words share one, else another seed is taken. So counts are exact.
 
 Null texts are empty, a null language is ``und``. Repeated rows count each. Words are cut at spaces and tabs, pieces at
-punctuation and line ends; A-Z is lower-cased. A text longer than SHARD is a shard of its own. Empty tables have
+punctuation and line ends; A-Z is lower-cased. A longer text than SHARD makes a larger shard. Empty tables have
 no phrases.
 """
 
@@ -29,21 +29,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivermark.llm.rows import col, stored
-from rivermark.llm.spans import LOWER, byte_class, mixed, text_bytes
+from rivermark.llm.spans import LOWER, byte_class, mixed, slices, text_bytes
+from rivermark.session import shared_folder
 
 LONGEST = 3  # words of a phrase
 LEAST = 10  # occurrences of a candidate
 INSIDE = 50  # percent: so frequent a longer phrase takes the place of the one inside it
 FIRST = 2000  # phrases reported per language
-SHARD = 6 << 20
+SHARD = 3 << 20
+WORDS = 4096  # of a shard in a row
+ROW_GROUP = 32 << 20  # bytes of stored indexes that are read at once
 BITS = 1 << 26
 GROUP = 50_000  # candidates ranked in one task at first
 
 PIECE_ENDS = byte_class((0x2E, 0x2E), (0x2C, 0x2C), (0x3B, 0x3B), (0x3A, 0x3A), (0x21, 0x21), (0x3F, 0x3F), (0x0A, 0x0D))
 WORD = ~(PIECE_ENDS | byte_class((0x20, 0x20), (0x09, 0x09)))
-INDEX = (
-    "hashes array<long>, langs array<string>, words array<string>, counts array<long>, left binary, right binary"
-)
+# a shard is one row with its index, and rows with parts of its vocabulary
+INDEX = "names binary, counts binary, left binary, right binary, lang string, words array<struct<h1: long, word: string, n: long>>"
+
+
+WORD_LIST = pa.list_(pa.struct([("h1", pa.int64()), ("word", pa.string()), ("n", pa.int64())]))
 
 
 class Index:
@@ -145,29 +150,37 @@ def word_hash(lang: str, word: bytes, seed: int) -> int:
 
 
 def index_of(texts: pa.Array, langs: pa.Array, longest: int, seed: int) -> pa.RecordBatch:
-    """One row: the words of a shard by id, their counts and the two indexes."""
+    """A row with the two indexes of a shard and the hashes and counts of its words by id, and rows with the words."""
     words, text, first = cut_words(texts)
     kinds = langs.dictionary_encode()
     lang = kinds.indices.to_numpy(zero_copy_only=False)[text] if len(text) else np.zeros(0, np.int64)
-    key = words.indices.to_numpy(zero_copy_only=False).astype(np.int64) * max(len(kinds.dictionary), 1) + lang
-    distinct, which = np.unique(key, return_inverse=True)
-    spelled, named = words.dictionary.to_pylist(), kinds.dictionary.to_pylist()
-    pairs = [(named[k % len(named)], spelled[k // len(named)]) for k in distinct.tolist()]
+    key = lang.astype(np.int64) * (len(words.dictionary) + 1) + words.indices.to_numpy(zero_copy_only=False)
+    distinct, which, counts = np.unique(key, return_inverse=True, return_counts=True)
     ids = np.zeros(len(which) + int(first.sum()) + 1, np.int64)
     ids[np.arange(len(which)) + np.cumsum(first)] = which + 1  # a 0 before each piece, and one at the end
     index = Index.of(ids, len(distinct) + 1, longest)
-    columns = [
-        [[word_hash(lang, word, seed) for lang, word in pairs]],
-        [[lang for lang, _ in pairs]],
-        [[word.decode("utf-8", "replace") for _, word in pairs]],
-        [np.bincount(ids, minlength=len(distinct) + 1)[1:]],
-        [index.sides[0].tobytes()],
-        [index.sides[1].tobytes()],
-    ]
-    types = [pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, types)], names=["hashes", "langs", "words", "counts", "left", "right"]
+    spelling, names = distinct % (len(words.dictionary) + 1), kinds.dictionary.to_pylist()
+    hashes, parts, part_langs = np.zeros(len(distinct), np.int64), [], []
+    edges = np.searchsorted(distinct // (len(words.dictionary) + 1), np.arange(len(names) + 1))
+    for n, name in enumerate(names):
+        for start in range(edges[n], edges[n + 1], WORDS):
+            end = min(start + WORDS, edges[n + 1])
+            spelled = words.dictionary.take(pa.array(spelling[start:end])).to_pylist()
+            hashes[start:end] = [word_hash(name, word, seed) for word in spelled]
+            spelled = [word.decode("utf-8", "replace") for word in spelled]
+            fields = [pa.array(hashes[start:end]), pa.array(spelled, pa.string()), pa.array(counts[start:end])]
+            parts.append(pa.StructArray.from_arrays(fields, names=["h1", "word", "n"]))
+            part_langs.append(name)
+    held = pa.concat_arrays(parts) if parts else None
+    offsets = np.cumsum([0, 0, *map(len, parts)]).astype(np.int32)
+    words_column = (
+        pa.ListArray.from_arrays(pa.array(offsets), held) if parts else pa.array([None], WORD_LIST)
     )
+    blank = [None] * len(parts)
+    binary = [hashes.tobytes(), counts.tobytes(), index.sides[0].tobytes(), index.sides[1].tobytes()]
+    columns = [pa.array([value, *blank], pa.binary()) for value in binary]
+    columns += [pa.array([None, *part_langs], pa.string()), words_column]
+    return pa.RecordBatch.from_arrays(columns, names=["names", "counts", "left", "right", "lang", "words"])
 
 
 def indexed(documents: DataFrame, lang_column: str, text_column: str, longest: int, seed: int) -> DataFrame:
@@ -176,10 +189,9 @@ def indexed(documents: DataFrame, lang_column: str, text_column: str, longest: i
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            for row in range(batch.num_rows):
-                one = batch.slice(row, 1)
-                held.append(one)
-                size += len(one.column("text")[0].as_buffer() or b"")
+            for part in slices(batch, "text", SHARD // 4):
+                held.append(part)
+                size += part.column("text").nbytes
                 if size >= SHARD:
                     yield finished(held)
                     held, size = [], 0
@@ -199,11 +211,12 @@ def indexed(documents: DataFrame, lang_column: str, text_column: str, longest: i
 
 
 def indexes_of(batch: pa.RecordBatch):
-    for row in batch.to_pylist():
-        counts = np.array(row["counts"], np.int64)
-        before, after = (np.frombuffer(row[side], np.int32) for side in ("left", "right"))
+    """Hashes of the words and index of each shard in a batch."""
+    for row in range(batch.num_rows):
+        buffers = [batch.column(c)[row].as_buffer() for c in ("names", "counts", "left", "right")]
+        hashes, counts, before, after = (np.frombuffer(b, t) for b, t in zip(buffers, (np.int64, np.int64, np.int32, np.int32)))
         separators = len(before) - int(counts.sum())
-        yield np.array(row["hashes"], np.int64), Index(np.append(separators, counts), before, after)
+        yield hashes, Index(np.append(separators, counts), before, after)
 
 
 def slot(hashes: np.ndarray) -> np.ndarray:
@@ -262,13 +275,12 @@ def counted(shards: DataFrame, size: int, frequent: list) -> DataFrame:
 
     keys = [f"h{n}" for n in range(1, size + 1)]
     schema = ", ".join(f"{k} long" for k in [*keys, "n"])
-    return shards.select("hashes", "counts", "left", "right").mapInArrow(run, schema)
+    return shards.where("left is not null").select("names", "counts", "left", "right").mapInArrow(run, schema)
 
 
 def vocabulary(shards: DataFrame) -> DataFrame:
     """(h1, lang, word, n) over all shards, stored."""
-    each = shards.select(F.explode(F.arrays_zip("hashes", "langs", "words", "counts")).alias("w"))
-    each = each.select(F.col("w.hashes").alias("h1"), F.col("w.langs").alias("lang"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    each = shards.where("lang is not null").select("lang", F.inline("words"))
     return stored(each.groupBy("h1", "lang", "word").agg(F.sum("n").alias("n")), "words")
 
 
@@ -278,7 +290,10 @@ def frequent_phrases(
     """The vocabulary (h1, lang, word, n), and for each length the phrases (h1, h2, ..., n) that occur ``least`` times."""
     spark, seed = documents.sparkSession, 0
     while True:
-        shards = stored(indexed(documents, lang_column, text_column, longest, seed), "indexes")
+        folder = shared_folder(spark, "indexes")
+        made = indexed(documents, lang_column, text_column, longest, seed)
+        made.write.option("parquet.block.size", ROW_GROUP).parquet(folder)
+        shards = spark.read.schema(INDEX).parquet(folder)
         words = vocabulary(shards)
         if words.groupBy("h1").count().where("count > 1").isEmpty():
             break
