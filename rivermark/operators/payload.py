@@ -56,6 +56,12 @@ def _fields(raw: str, schema: str, zone: str | None = None) -> Column:
     return F.inline(F.array(F.from_json(raw, schema, options)))
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, each computed once: a later filter on a computed column is not pushed
+    below the computation with a copy of it."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def unparsed(columns: list[str]) -> Column:
     """True for a record without any field: malformed, empty or foreign text."""
     return F.coalesce(*[F.col(c).cast("string") for c in columns]).isNull()

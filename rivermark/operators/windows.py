@@ -29,7 +29,7 @@ def sliding_stats(
     slide: str = schemas.SLIDE,
     scale: int | None = None,
 ) -> DataFrame:
-    """Windowed statistics in one grouping; this is the streaming form.
+    """Windowed statistics in one grouping.
 
     On a stream put ``withWatermark`` before it: a window then leaves once the
     watermark passes its end, and rows later than the watermark are dropped.
@@ -59,14 +59,21 @@ def sliding_stats_by_panes(
     slide: str = schemas.SLIDE,
     scale: int | None = None,
 ) -> DataFrame:
-    """The same statistics for batch, without expanding every event.
+    """The same statistics without expanding every event.
 
     Events are first reduced to panes no window edge cuts through; only the
     panes are copied into the windows that cover them. With the 5 minute
     window and 1 minute step the large grouping updates one group per event
     instead of five, and the second shuffle holds one row per pane at most.
+
+    On a stream with a watermark, append mode: a pane waits in state until the watermark passes its end, and is copied
+    only then; a window that the watermark passed leaves with its last pane. So the state holds panes and the windows
+    across the watermark, and not every open window of every event.
     """
-    pane = F.window("timestamp", pane_width(events.sparkSession, width, slide)).start.alias("pane")
+    pane = F.window("timestamp", pane_width(events.sparkSession, width, slide))
+    if not events.isStreaming:
+        pane = pane.start
+    pane = pane.alias("pane")
     panes = events.groupBy(pane, "categoria", "evento").agg(
         F.count("*").alias("n"),
         F.count("valor").alias("n_valor"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rivermark.operators import groups, keyed, windows
+from rivermark.operators import checksums, groups, keyed, windows
 from rivermark.plans import audit, events, leads
 from rivermark.registry.base import (
     AMOUNT_SCALE,
@@ -148,18 +148,16 @@ def events_listed(d: Data):
     return audit.events_listed(d.events)
 
 
-@query(
-    "a13_dashboard",
-    """SELECT count(*) AS total_leads, count(*) FILTER (score_qualificacao >= 50) AS qualified_leads,
+DASHBOARD_SQL = """SELECT count(*) AS total_leads, count(*) FILTER (score_qualificacao >= 50) AS qualified_leads,
               coalesce(round(count(*) FILTER (score_qualificacao >= 50) * 100.0::DOUBLE / count(*), 2), 0)
                   AS qualification_rate,
               (SELECT count(*) FROM sessions WHERE is_active) AS active_sessions,
               count(*) FILTER (created_at >= (SELECT max(created_at) FROM leads) - INTERVAL 24 HOUR)
                   AS recent_leads_24h
-    FROM leads""",
-    LEADS,
-    SESSIONS,
-)
+    FROM leads"""
+
+
+@query("a13_dashboard", DASHBOARD_SQL, LEADS, SESSIONS)
 def dashboard(d: Data):
     return leads.dashboard(d.leads, d.sessions, d.as_of(d.leads, "created_at"))
 
@@ -245,6 +243,39 @@ def reconciliation(d: Data):
     return keyed.reconcile(d.events, documents, ["id"], ("tabela", "documentos"))
 
 
+CHECKED = ["id", "usuario", "evento", "valor", "timestamp"]
+
+
+@query(
+    "a19_by_checksum",
+    """SELECT id, CASE WHEN valor < 5 THEN 'ausente' ELSE 'diferente' END AS estado FROM eventos
+    WHERE valor < 5 OR (evento = 'error' AND valor < 50)
+    UNION ALL SELECT id || '-novo', 'excedente' FROM eventos WHERE evento = 'signup'""",
+    EVENTOS,
+)
+def by_checksum(d: Data):
+    """A copy with rows missing, changed and in excess; only buckets with other sums are compared by key."""
+    rows = d.events.select(*CHECKED)
+    wrong = (F.col("evento") == "error") & (F.col("valor") < 50)
+    value = F.when(wrong, F.col("valor") + 1).otherwise(F.col("valor"))
+    copy = rows.where("valor >= 5 OR valor IS NULL").withColumn("valor", value)
+    extra = rows.where("evento = 'signup'").withColumn("id", F.concat("id", F.lit("-novo")))
+    return checksums.differences(rows, copy.unionByName(extra), ["id"], CHECKED)
+
+
+@query(
+    "t12_changed_rows",
+    "SELECT id, status_lead FROM leads WHERE origem = 'site' OR status_lead = 'novo'",
+    LEADS,
+)
+def changed_rows(d: Data):
+    """Leads the sink lacks, and those it holds in an older state; a scan by creation time would not find these."""
+    leads = d.leads.select("id", "status_lead", "email")
+    old = F.when(F.col("status_lead") == "novo", "antigo").otherwise(F.col("status_lead"))
+    sent = d.leads.where("origem <> 'site'").select("id", old.alias("status_lead"), "email")
+    return checksums.to_send(leads, sent, ["id"]).select("id", "status_lead")
+
+
 FINDINGS_SQL = """SELECT *,
        CASE WHEN leads_sem_sessao > 0 THEN 'ATENCAO: ' || leads_sem_sessao || ' lead(s) sem sessao'
             ELSE 'OK: todo lead tem sessao' END AS sessao_status,

@@ -12,7 +12,8 @@ from rivermark.operators import keyed, payload, quality
 from rivermark.registry.base import EVENTOS, LEADS, SESSIONS, Data, query
 from rivermark.session import shared_folder
 from rivermark.sinks import files, versions
-from rivermark.streaming import constraints, jobs, router, sync
+from rivermark.streaming import constraints, jobs, router, sync, waiting
+from rivermark.streaming.lookup import Lookup
 from rivermark.streaming.router import EVENT_FIELDS
 
 
@@ -140,43 +141,148 @@ def one_per_user(d: Data):
 )
 def email_routed(d: Data):
     """All leads, and some again under another id: within the batch and after it, the first id keeps the e-mail."""
-    root = shared_folder(d.spark, "email")
-    columns = ["id", "email", "created_at", "updated_at"]
-    inner = versions.upsert_sink(f"{root}/leads", schemas.ID_KEY, ["updated_at"], "created_at")
-    read = lambda: versions.table_rows(d.spark, f"{root}/leads", "id string, email string")
-    sink = constraints.unique_sink(inner, jobs.file_sink(f"{root}/recusados"), read, "email")
-    leads = d.leads.select(*columns, "origem")
+    store = EmailStore(d, "email")
+    sink = store.sink()
+    leads = d.leads.select(*EmailStore.COLUMNS, "origem")
     again = leads.withColumn("id", F.concat("id", F.lit("-de-novo")))
-    sink(leads.unionByName(again.where("origem = 'site'")).select(*columns), "q", 0)
-    sink(again.where("origem = 'indicacao'").select(*columns), "q", 1)
-    refused = files.table_rows(d.spark, f"{root}/recusados", "id string, email string")
-    stored = read().select(F.lit("leads").alias("tabela"), "id", "email")
-    return stored.unionByName(refused.select(F.lit("recusados").alias("tabela"), "id", "email"))
+    sink(leads.unionByName(again.where("origem = 'site'")).select(*store.COLUMNS), "q", 0)
+    sink(again.where("origem = 'indicacao'").select(*store.COLUMNS), "q", 1)
+    return store.tables()
+
+
+class EmailStore:
+    """Leads with the rule of one lead per e-mail, below a new folder."""
+
+    COLUMNS = ["id", "email", "created_at", "updated_at"]
+
+    def __init__(self, d: Data, name: str):
+        self.d, self.root = d, shared_folder(d.spark, name)
+        self.leads = versions.upsert_sink(f"{self.root}/leads", schemas.ID_KEY, ["updated_at"], "created_at", "yyyy")
+        self.refused = jobs.file_sink(f"{self.root}/recusados")
+
+    def sink(self, wrap=lambda name, sink: sink):
+        spark, part = self.d.spark, versions.part_of("created_at", "yyyy")
+        stored = lambda rows: versions.part_rows(
+            spark, f"{self.root}/leads", rows.schema, versions.touched(rows, part)
+        )
+        return constraints.unique_sink(
+            wrap("leads", self.leads), wrap("recusados", self.refused), f"{self.root}/decisoes",
+            Lookup(spark, f"{self.root}/emails", buckets=8), stored, "email", ["updated_at"],
+        )
+
+    def tables(self) -> DataFrame:
+        stored = versions.table_rows(self.d.spark, f"{self.root}/leads", "id string, email string")
+        refused = files.table_rows(self.d.spark, f"{self.root}/recusados", "id string, email string")
+        stored = stored.select(F.lit("leads").alias("tabela"), "id", "email")
+        return stored.unionByName(refused.select(F.lit("recusados").alias("tabela"), "id", "email"))
+
+
+def broken_once(broken: str):
+    """Makes the named sink fail after its write."""
+
+    def wrap(name, sink):
+        def failing(*batch):
+            sink(*batch)
+            if name == broken:
+                raise RuntimeError(f"{name} failed")
+
+        return failing
+
+    return wrap
+
+
+def run_with_faults(sink_of, names: list[str], rows: DataFrame, query_id: str, batch_id: int) -> None:
+    """One batch: a fault after each sink in turn, then a run to its end."""
+    for name in names:
+        try:
+            sink_of(broken_once(name))(rows, query_id, batch_id)
+        except RuntimeError as error:
+            if str(error) != f"{name} failed":
+                raise
+    sink_of(lambda name, sink: sink)(rows, query_id, batch_id)
 
 
 @query(
-    "q06_orphans_routed",
-    """SELECT s.id, CASE WHEN l.status_lead <> 'perdido' OR l.origem = 'site' THEN 'sessions' ELSE 'espera' END AS tabela
-    FROM sessions s JOIN leads l ON l.id = s.lead_id""",
+    "q05_email_replayed",
+    """SELECT 'leads' AS tabela, id, CASE origem WHEN 'site' THEN 'novo-' || email ELSE email END AS email FROM leads
+    UNION ALL SELECT 'recusados', id || '-cedo', email FROM leads WHERE origem = 'site'
+    UNION ALL SELECT 'leads', id || '-depois', email FROM leads WHERE origem = 'site'""",
     LEADS,
-    SESSIONS,
 )
+def email_replayed(d: Data):
+    """Leads that change their e-mail, and others that want the old one in the same batch and in the next; every
+    batch fails after each of its writes and is run again."""
+    store = EmailStore(d, "email-replayed")
+    leads = d.leads.select(*store.COLUMNS, "origem")
+    site = leads.where("origem = 'site'")
+    moved = site.withColumns({"email": F.concat(F.lit("novo-"), "email"), "updated_at": F.expr("updated_at + INTERVAL 1 DAY")})
+    other = lambda end: site.withColumn("id", F.concat("id", F.lit(end)))
+    for number, batch in enumerate([leads, moved.unionByName(other("-cedo")), other("-depois")]):
+        run_with_faults(store.sink, ["recusados", "leads"], batch.select(*store.COLUMNS), "q", number)
+    return store.tables()
+
+
+ORPHANS_SQL = """SELECT s.id, CASE WHEN l.status_lead <> 'perdido' OR l.origem = 'site' THEN 'sessions' ELSE 'espera' END AS tabela
+    FROM sessions s JOIN leads l ON l.id = s.lead_id"""
+
+
+class SessionStore:
+    """Sessions with the rule that their lead is stored, below a new folder."""
+
+    def __init__(self, d: Data, name: str):
+        self.d, self.root = d, shared_folder(d.spark, name)
+        columns = ["id", "lead_id", "started_at", "processado_em"]
+        self.rows = d.sessions.withColumn("processado_em", F.col("started_at")).select(*columns)
+        self.inner = versions.upsert_sink(f"{self.root}/sessions", schemas.ID_KEY, ["processado_em"], "started_at", "yyyy")
+
+    def sink(self, leads: DataFrame, wrap=lambda name, sink: sink):
+        ids = leads.select(F.col("id").alias("valor"))
+        return constraints.parent_sink(wrap("sessions", self.inner), f"{self.root}/decisoes", lambda values: ids, "lead_id")
+
+    def tables(self, query_id: str, batch_id: int) -> DataFrame:
+        stored = versions.table_rows(self.d.spark, f"{self.root}/sessions", self.rows.schema)
+        open_ = constraints.waiting(self.d.spark, f"{self.root}/decisoes", query_id, batch_id, self.rows.schema)
+        return stored.select("id", F.lit("sessions").alias("tabela")).unionByName(open_.select("id", F.lit("espera").alias("tabela")))
+
+
+@query("q06_orphans_routed", ORPHANS_SQL, LEADS, SESSIONS)
 def orphans_routed(d: Data):
     """Sessions before some of their leads: they wait, and are stored once their lead is."""
-    root = shared_folder(d.spark, "orphans")
-    lost = F.col("status_lead") == "perdido"
-    columns = ["id", "lead_id", "started_at", "processado_em"]
-    sessions = d.sessions.withColumn("processado_em", F.col("started_at")).select(*columns)
-    inner = versions.upsert_sink(f"{root}/sessions", schemas.ID_KEY, ["processado_em"], "started_at", "yyyy")
+    store, lost = SessionStore(d, "orphans"), F.col("status_lead") == "perdido"
     arrived = [d.leads.where(~lost), d.leads.where(~lost | (F.col("origem") == "site"))]
     for number, leads in enumerate(arrived):
-        sink = constraints.parent_sink(inner, f"{root}/espera", lambda leads=leads: leads, "lead_id")
-        sink(sessions if number == 0 else sessions.limit(0), "q", number)
-    stored = versions.table_rows(d.spark, f"{root}/sessions", sessions.schema)
-    open_ = constraints.waiting(d.spark, f"{root}/espera", "q", 1, sessions.schema)
-    return stored.select("id", F.lit("sessions").alias("tabela")).unionByName(
-        open_.select("id", F.lit("espera").alias("tabela"))
-    )
+        store.sink(leads)(store.rows if number == 0 else store.rows.limit(0), "q", number)
+    return store.tables("q", 1)
+
+
+@query("q06_orphans_replayed", ORPHANS_SQL, LEADS, SESSIONS)
+def orphans_replayed(d: Data):
+    """The same where every batch fails after its write and finds more leads when it runs again, and a new
+    checkpoint goes on: a session that waited in the first try waits until the next batch, and none is lost."""
+    store, lost = SessionStore(d, "orphans-replayed"), F.col("status_lead") == "perdido"
+    few, more = d.leads.where(~lost), d.leads.where(~lost | (F.col("origem") == "site"))
+    for query_id, first, rows in (("q", few, store.rows), ("r", more, store.rows.limit(0))):
+        tries = iter([first, more])
+        run_with_faults(lambda wrap: store.sink(next(tries), wrap), ["sessions"], rows, query_id, 0)
+    return store.tables("r", 0)
+
+
+@query("q06_waiting_state", ORPHANS_SQL, LEADS, SESSIONS)
+def waiting_state(d: Data):
+    """The same by state: sessions and some leads, a stop, then more leads; what waits is read from the checkpoint."""
+    root, lost = shared_folder(d.spark, "waiting-state"), F.col("status_lead") == "perdido"
+    sessions = d.sessions.select("id", "lead_id", "started_at", "pages_visited")
+    leads = [d.leads.where(~lost), d.leads.where(lost & (F.col("origem") == "site"))]
+    for number, arrived in enumerate(leads):
+        arrived.select("id").write.mode("append").parquet(f"{root}/leads")
+        (sessions if number == 0 else sessions.limit(0)).write.mode("append").parquet(f"{root}/entrada")
+        children = d.spark.readStream.schema(sessions.schema).parquet(f"{root}/entrada")
+        parents = d.spark.readStream.schema("id string").parquet(f"{root}/leads")
+        rows = waiting.admitted(children, parents, "lead_id")
+        jobs.replay(jobs.start, rows, "espera", jobs.file_sink(f"{root}/sessions"), f"{root}/checkpoints")
+    stored = files.table_rows(d.spark, f"{root}/sessions", "id string, destino string").where("destino = 'aceito'")
+    open_ = waiting.still_waiting(d.spark, f"{root}/checkpoints/espera").select("id", F.lit("espera").alias("tabela"))
+    return stored.select("id", F.lit("sessions").alias("tabela")).unionByName(open_)
 
 
 @query(

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from rivermark import schemas
 from rivermark.functions.times import recent
-from rivermark.operators import groups, search
+from rivermark.operators import groups, postings, search
 from rivermark.plans import audit, events, leads
 from rivermark.registry.base import EVENTOS, LEADS, SESSIONS, Data, query
+from rivermark.session import shared_folder
 from rivermark.sources.tables import stored_keys
 
 LEAD_COLUMNS = ["id", "email", "score_qualificacao", "status_lead", "created_at"]
@@ -174,22 +175,22 @@ def user_equality(d: Data):
     return search.matching_fields(d.events, equal={"usuario": "usuario46"})
 
 
-@query(
-    "p15_any_word",
-    r"""SELECT doc_id, lang FROM documents
-    WHERE list_has_any(string_split(regexp_replace(lower(text), '[^\p{L}\p{N}_]', ' ', 'g'), ' '), ['él', 'être', 'über'])""",
-)
+ANY_WORD_SQL = r"""SELECT doc_id, lang FROM documents
+    WHERE list_has_any(string_split(regexp_replace(lower(text), '[^\p{L}\p{N}_]', ' ', 'g'), ' '), ['él', 'être', 'über'])"""
+
+
+@query("p15_any_word", ANY_WORD_SQL)
 def any_word(d: Data):
     rows = search.matching_fields(d.table("documents"), match={"text": "Él; ÊTRE über"})
     return rows.select("doc_id", "lang")
 
 
-@query(
-    "p16_phrase",
-    r"""SELECT doc_id, lang, source FROM documents
+PHRASE_SQL = r"""SELECT doc_id, lang, source FROM documents
     WHERE regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])für[^\p{L}\p{N}_]+die([^\p{L}\p{N}_]|$)')
-       OR regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])of[^\p{L}\p{N}_]+the([^\p{L}\p{N}_]|$)')""",
-)
+       OR regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])of[^\p{L}\p{N}_]+the([^\p{L}\p{N}_]|$)')"""
+
+
+@query("p16_phrase", PHRASE_SQL)
 def phrase(d: Data):
     """Documents that hold either phrase."""
     texts = d.table("documents")
@@ -199,6 +200,28 @@ def phrase(d: Data):
     return rows.distinct()
 
 
+def text_index(d: Data) -> postings.Index:
+    """An index of all documents, written in two batches of which one is repeated."""
+    root, texts = shared_folder(d.spark, "postings"), d.table("documents")
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    for number in (0, 1, 1):
+        postings.write_index(texts.where(part == number), root, "q", number, "doc_id", "text")
+    return postings.Index(d.spark, root, "doc_id", "bigint")
+
+
+@query("p15_any_word_indexed", ANY_WORD_SQL)
+def any_word_indexed(d: Data):
+    keys = text_index(d).any_word("Él; ÊTRE über")
+    return postings.found(d.table("documents"), keys, "doc_id").select("doc_id", "lang")
+
+
+@query("p16_phrase_indexed", PHRASE_SQL)
+def phrase_indexed(d: Data):
+    index = text_index(d)
+    keys = index.phrase("Für die").unionByName(index.phrase("of the")).distinct()
+    return postings.found(d.table("documents"), keys, "doc_id").select("doc_id", "lang", "source")
+
+
 @query(
     "p16_field_search",
     f"""SELECT {EVENT_SQL} FROM eventos

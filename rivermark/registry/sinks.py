@@ -10,7 +10,7 @@ from rivermark.operators import keyed
 from rivermark.registry.base import EVENTOS, LEADS, SESSIONS, Data, query
 from rivermark.registry.scans import EVENT_COLUMNS, EVENT_SQL
 from rivermark.session import shared_folder
-from rivermark.sinks import files, tables, versions
+from rivermark.sinks import bulk, files, tables, versions
 from rivermark.streaming.sync import pending, store_mark, stored_mark
 
 CHANGED_SQL = """CASE WHEN evento = 'purchase' THEN valor * 2 ELSE valor END AS valor,
@@ -42,6 +42,19 @@ def documents_by_id(d: Data):
     return keyed.latest(written, ["id"], ["processado_em"])
 
 
+@query(
+    "k02_bulk_documents",
+    f"SELECT id, usuario, evento, timestamp, categoria, {CHANGED_SQL} FROM eventos",
+    EVENTOS,
+)
+def bulk_documents(d: Data):
+    """The same as bodies of bulk requests, read back from these."""
+    root, shape = shared_folder(d.spark, "bulk"), d.stored.schema
+    for batch, rows in ((0, d.stored), (1, changed(d.stored)), (1, changed(d.stored))):
+        bulk.write_bodies(rows, root, "documentos", batch, "eventos", per_body=2000)
+    return bulk.documents_of(d.spark, root, shape)
+
+
 @query(
     "k08_upsert",
     f"""SELECT id, usuario, evento, timestamp, categoria, {CHANGED_SQL} FROM eventos""",
@@ -137,6 +150,28 @@ def store_retention(d: Data):
     return files.folded_rows(d.spark, f"{root}/lotes", f"{root}/tabela", d.events.schema).select(*EVENT_COLUMNS)
 
 
+@query(
+    "k10_fold_two_checkpoints",
+    f"""SELECT {EVENT_SQL} FROM eventos
+    WHERE timestamp::DATE >= (SELECT max(timestamp)::DATE FROM eventos) - {RETAINED_DAYS}""",
+    EVENTOS,
+)
+def fold_two_checkpoints(d: Data):
+    """Batches of two checkpoints, folded after each with retention between: each row once, and dropped days stay dropped."""
+    root = shared_folder(d.spark, "two-checkpoints")
+    first = d.events.agg(F.date_sub(F.to_date(F.max("timestamp")), RETAINED_DAYS).cast("string")).first()[0]
+    parts = [("q", 0, "valor < 40"), ("r", 0, "valor >= 40 AND valor < 90"), ("r", 1, f"valor >= 90 AND to_date(timestamp) >= '{first}'")]
+    for query_id, batch, condition in parts:
+        files.write_batch(d.events.where(condition), f"{root}/lotes", query_id, batch)
+        for _ in range(2):  # the second finds nothing to do
+            files.fold(d.spark, f"{root}/lotes", f"{root}/tabela", d.events.schema, schemas.EVENT_KEY, [])
+            versions.drop_days_before(d.spark, f"{root}/tabela", first)
+    versions.vacuum(d.spark, f"{root}/tabela", 0)
+    files.drop_folded(d.spark, f"{root}/lotes", f"{root}/tabela", 0)
+    files.write_batch(d.events.limit(0), f"{root}/lotes", "r", 2)
+    return files.folded_rows(d.spark, f"{root}/lotes", f"{root}/tabela", d.events.schema).select(*EVENT_COLUMNS)
+
+
 @query("k11_tables", f"SELECT {EVENT_SQL} FROM eventos", EVENTOS)
 def catalog_tables(d: Data):
     """Created twice, made anew, filled once; read from the table's folder."""

@@ -35,9 +35,10 @@ from rivermark.registry.messages import (
 )
 from rivermark.registry.scans import EVENT_COLUMNS, EVENT_SQL
 from rivermark.session import shared_folder
-from rivermark.sinks import files, versions
+from rivermark.sinks import files, folders, versions
+from rivermark.sources.streams import file_stream
 from rivermark.streaming import jobs, router
-from rivermark.streaming.progress import late_rows, progress_log, progress_rows
+from rivermark.streaming.progress import fold_progress, late_rows, progress_log, progress_rows
 
 ROUTES = ["events", "leads", "sessions", "unknown", "quarantine"]
 
@@ -238,3 +239,48 @@ def restart(d: Data):
         jobs.replay(jobs.start_raw_and_documents, messages, raw, f"{root}/checkpoints")
     shape = router.accepted(jobs.stored_event_rows(messages))
     return files.table_rows(d.spark, f"{root}/raw", shape.schema).groupBy("id").agg(F.count("*").alias("vezes"))
+
+
+@query("t10_stopped_and_resumed", "SELECT id, count(*) AS vezes FROM eventos GROUP BY id", EVENTOS)
+def stopped_and_resumed(d: Data):
+    """A stop is asked for while a batch runs: it ends, the next is not begun, and the next start takes the rest."""
+    root = shared_folder(d.spark, "stopped")
+    payload.to_messages(d.events.repartition(4, "id")).write.parquet(f"{root}/messages")
+    messages = file_stream(d.spark, f"{root}/messages", "value binary", files_per_batch=1)
+    store, marker = jobs.file_sink(f"{root}/raw"), f"{root}/parar"
+
+    def stopping(rows: DataFrame, query_id: str, batch_id: int) -> None:
+        if batch_id == 1:
+            jobs.ask_to_stop(d.spark, marker)
+        store(rows, query_id, batch_id)
+
+    ends = []
+    for sink in (stopping, store):
+        run = jobs.start_raw_and_documents(
+            messages, {"raw": sink}, f"{root}/checkpoints", {"availableNow": True}, stop_marker=marker
+        )
+        ends.append(jobs.ended(run))
+        folders.remove(d.spark, marker)
+    shape = router.accepted(jobs.stored_event_rows(messages))
+    rows = files.table_rows(d.spark, f"{root}/raw", shape.schema).where(F.lit(ends == [False, True]))
+    return rows.groupBy("id").agg(F.count("*").alias("vezes"))
+
+
+@query(
+    "t11_progress_folded",
+    "SELECT 'eventos_raw' AS consulta, count(*) AS linhas FROM events",
+)
+def progress_folded(d: Data):
+    """The same from a log that was folded while the query was stopped and again at its end."""
+    folder = shared_folder(d.spark, "progress-folded")
+    root = shared_folder(d.spark, "folded-run")
+    payload.to_messages(d.events.repartition(6, "id")).write.parquet(f"{root}/messages")
+    messages = file_stream(d.spark, f"{root}/messages", "value binary", files_per_batch=1)
+    sinks = {"raw": jobs.file_sink(f"{root}/raw")}
+    for _ in range(2):
+        with progress_log(d.spark, folder) as log:
+            run = jobs.replay(jobs.start_raw_and_documents, messages, sinks, f"{root}/checkpoints")
+            log.wait(run)
+        fold_progress(d.spark, folder)
+    rows = progress_rows(d.spark, folder).where(F.col("id") == str(run.id))
+    return rows.groupBy("consulta").agg(F.sum("linhas").alias("linhas"))

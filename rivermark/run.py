@@ -23,7 +23,8 @@ from rivermark.session import spark_session
 from rivermark.sinks import connectors, database, versions
 from rivermark.sources.streams import broker_options, message_stream
 from rivermark.streaming import constraints, jobs
-from rivermark.streaming.progress import progress_log
+from rivermark.streaming.lookup import Lookup
+from rivermark.streaming.progress import fold_progress, progress_log
 from rivermark.streaming.router import Sink
 
 # Tables that only grow: name, key, and the key's time for narrowing the lookup.
@@ -51,6 +52,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--zone", help="zone of times without an offset")
     parser.add_argument("--per-batch", type=int, help="most messages of one batch")
     parser.add_argument("--fail-on-data-loss", action="store_true", help="stop when the broker has deleted messages unread")
+    parser.add_argument("--stop", metavar="FOLDER", help="end after the running batch when this folder exists")
     parser.add_argument("--once", action="store_true", help="take what is there and end")
     given = parser.parse_args(argv)
     if given.job == "router" and given.jdbc:
@@ -66,18 +68,30 @@ def table_sink(spark: SparkSession, given: argparse.Namespace, table: tuple) ->
     return database.jdbc_sink(spark, given.jdbc, name, options, keys, time)
 
 
+def lead_indexes(spark: SparkSession, store: str) -> tuple[Lookup, Lookup]:
+    """Who has an e-mail, and which leads are stored; built from the leads if they are older than their indexes."""
+    emails, ids = Lookup(spark, f"{store}/indices/email"), Lookup(spark, f"{store}/indices/lead")
+    leads = f"{store}/{CHANGING_TABLES['leads'][0]}"
+    if versions.index(spark, leads):
+        rows = versions.table_rows(spark, leads, "id string, email string")
+        emails.build(rows.selectExpr("email AS valor", "id AS dono"))
+        ids.build(rows.selectExpr("id AS valor", "id AS dono"))
+    return emails, ids
+
+
 def changing_sink(spark: SparkSession, given: argparse.Namespace, route: str) -> Sink:
     """Below ``--store`` the rules between rows are kept too; a database has its own constraints."""
     name, order, day = CHANGING_TABLES[route]
     if given.connect is None:
         inner = versions.upsert_sink(f"{given.store}/{name}", schemas.ID_KEY, order, day)
-        leads = f"{given.store}/{CHANGING_TABLES['leads'][0]}"
-        if route == "leads":
-            refused = jobs.file_sink(f"{given.store}/quarentena/email")
-            read = lambda: versions.table_rows(spark, leads, "id string, email string")
-            return constraints.unique_sink(inner, refused, read, "email")
-        read = lambda: versions.table_rows(spark, leads, "id string")
-        return constraints.parent_sink(inner, f"{given.store}/espera", read, "lead_id")
+        records = f"{given.store}/decisoes/{name}"
+        emails, ids = lead_indexes(spark, given.store)
+        if route == "sessions":
+            return constraints.parent_sink(inner, records, ids.owners, "lead_id")
+        refused = jobs.file_sink(f"{given.store}/quarentena/email")
+        leads, part = f"{given.store}/{name}", versions.part_of(day)
+        stored = lambda rows: versions.part_rows(spark, leads, rows.schema, versions.touched(rows, part))
+        return constraints.unique_sink(inner, refused, records, emails, stored, "email", order, keys=ids)
     module, function = given.connect.split(":")
     return database.upsert_sink(getattr(import_module(module), function), name, schemas.ID_KEY, order)
 
@@ -97,13 +111,13 @@ def start(spark: SparkSession, given: argparse.Namespace) -> list[StreamingQuery
     if given.job == "router":
         sinks = {route: changing_sink(spark, given, route) for route in CHANGING_TABLES}
         sinks |= {"unknown": jobs.file_sink(f"{given.store}/desconhecidos"), "quarantine": quarantine}
-        return [jobs.start_router(messages, sinks, given.checkpoints, trigger, given.zone, list(CHANGING_TABLES))]
+        return [jobs.start_router(messages, sinks, given.checkpoints, trigger, given.zone, list(CHANGING_TABLES), stop_marker=given.stop)]
     sinks = {"raw": table_sink(spark, given, EVENT_TABLE), "quarantine": quarantine}
     if given.documents:
         sinks["documents"] = document_sink(given)
-    raw = jobs.start_raw_and_documents(messages, sinks, given.checkpoints, trigger, given.zone)
+    raw = jobs.start_raw_and_documents(messages, sinks, given.checkpoints, trigger, given.zone, given.stop)
     windows = table_sink(spark, given, WINDOW_TABLE)
-    return [raw, jobs.start_windows(messages, windows, given.checkpoints, trigger, zone=given.zone)]
+    return [raw, jobs.start_windows(messages, windows, given.checkpoints, trigger, zone=given.zone, stop_marker=given.stop)]
 
 
 def main() -> None:
@@ -112,10 +126,11 @@ def main() -> None:
     with progress_log(spark, f"{given.store}/progresso") as log:
         queries = start(spark, given)
         if not given.once:
-            jobs.run_until_one_stops(spark)
+            jobs.run_until_one_stops(spark, given.stop, between=log.raise_failed)
         for query in queries:
-            query.awaitTermination()  # raises the query's failure, also of one that has ended by now
+            jobs.ended(query)  # raises the query's failure, also of one that has ended by now
             log.wait(query)
+    fold_progress(spark, f"{given.store}/progresso")
 
 
 if __name__ == "__main__":

@@ -9,12 +9,14 @@ under one key across batches are read through ``keyed.latest`` or folded by
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivermark.functions.times import AsOf, cutoff
 from rivermark.operators import keyed
-from rivermark.sinks import versions
+from rivermark.sinks import folders, versions
 
 BATCH_COLUMNS = ["consulta", "lote"]
 
@@ -24,12 +26,22 @@ def write_batch(df: DataFrame, root: str, query_id: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{root}/consulta={query_id}/lote={batch_id}")
 
 
+def drop_empty(spark: SparkSession, root: str, query_id: str, batch_id: int, schema) -> None:
+    """Deletes the folder of a stored batch that has no rows. Only file footers are read."""
+    folder = f"{root}/consulta={query_id}/lote={batch_id}"
+    if spark.read.schema(schema).parquet(folder).isEmpty():
+        folders.remove(spark, folder)
+
+
 def read_batches(spark: SparkSession, root: str, schema) -> DataFrame:
     """All stored micro-batches as one table, in the given schema.
 
     Filters on ``consulta`` and ``lote`` prune folders, so they stay columns;
     drop them where rows are compared.
     """
+    if not any(folders.entries(spark, f"{root}/{q.name}") for q in folders.entries(spark, root)):
+        none = spark.createDataFrame([], schema)
+        return none.withColumns({"consulta": F.lit(None).cast("string"), "lote": F.lit(None).cast("int")})
     rows = spark.read.schema(schema).option("basePath", root)
     return rows.parquet(f"{root}/consulta=*")
 
@@ -93,27 +105,42 @@ def rebuild(raw: DataFrame, keys: list[str], order: list[str], target: str) -> N
 
 
 def _unfolded(spark: SparkSession, root: str, table: str, schema) -> DataFrame:
-    """Batches of ``root`` that ``table`` does not hold yet."""
+    """Batches of ``root`` that ``table`` does not hold yet: of each query those after its mark."""
     rows = read_batches(spark, root, schema)
-    last = versions.index(spark, table)
-    if not last:
-        return rows
-    folded = (F.col("consulta") == last[0].consulta) & (F.col("lote") <= last[0].lote)
+    folded = F.lit(False)
+    for query, batch in versions.marks_of(versions.index(spark, table)).items():
+        folded |= (F.col("consulta") == query) & (F.col("lote") <= batch)
     return rows.where(~folded)
 
 
 def fold(spark: SparkSession, root: str, table: str, schema, keys: list[str], order: list[str], day: str = "timestamp") -> None:
-    """Moves a stream's batches into a table by day: few files per day, one row per key.
+    """Moves the batches of ``root`` into a table by day: few files per day, one row per key.
 
-    One query writes ``root``; it may go on meanwhile, its later batches are taken next time.
+    Any number of queries may have written ``root``, one after the other or side by side; they may go on meanwhile, their later
+    batches are taken next time. The table keeps a mark for each of them.
     """
     rows = _unfolded(spark, root, table, schema)
-    last = rows.agg(F.max(F.struct("lote", "consulta")).alias("last")).first()["last"]
-    if last is not None:
-        chosen = rows.where(F.col("lote") <= last.lote).drop(*BATCH_COLUMNS)
-        versions.upsert_batch(chosen, table, keys, order, day, last.consulta, last.lote)
+    last = {r.consulta: r.lote for r in rows.groupBy("consulta").agg(F.max("lote").alias("lote")).collect()}
+    if last:
+        taken = F.lit(False)
+        for query, batch in last.items():
+            taken |= (F.col("consulta") == query) & (F.col("lote") <= batch)
+        query, batch = max(last.items())
+        versions.upsert_batch(rows.where(taken).drop(*BATCH_COLUMNS), table, keys, order, day, query, batch, marks=last)
 
 
 def folded_rows(spark: SparkSession, root: str, table: str, schema) -> DataFrame:
     """The folded table and the batches that came after it."""
     return versions.table_rows(spark, table, schema).unionByName(_unfolded(spark, root, table, schema).drop(*BATCH_COLUMNS))
+
+
+def drop_folded(spark: SparkSession, root: str, table: str, seconds: float = 24 * 3600) -> list[str]:
+    """Deletes batch folders that ``table`` holds and that are older than ``seconds``."""
+    before, deleted = time.time() - seconds, []
+    for query, last in versions.marks_of(versions.index(spark, table)).items():
+        for entry in folders.entries(spark, f"{root}/consulta={query}"):
+            name = entry.name.removeprefix("lote=")
+            if name.isdigit() and int(name) <= last and entry.changed < before:
+                folders.remove(spark, f"{root}/consulta={query}/{entry.name}")
+                deleted.append(f"consulta={query}/{entry.name}")
+    return deleted

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Collection, Mapping
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rivermark import schemas
 from rivermark.operators import payload, windows
-from rivermark.sinks import files
+from rivermark.sinks import files, folders
 from rivermark.streaming.router import (
     Sink,
     accepted,
@@ -24,14 +26,32 @@ QUERY_ID = "sql.streaming.queryId"
 
 
 def file_sink(root: str) -> Sink:
-    """Stores each batch below ``root``, replacing its earlier attempt."""
+    """Stores each batch below ``root``, replacing its earlier attempt; a batch without rows leaves no folder."""
 
     def write(rows: DataFrame, query_id: str, batch_id: int) -> None:
         files.write_batch(rows, root, query_id, batch_id)
+        files.drop_empty(rows.sparkSession, root, query_id, batch_id, rows.schema)
 
     return write
 
 
+class StopRequested(Exception):
+    """A batch was not begun because a stop was asked for; the next start runs it."""
+
+
+def ask_to_stop(spark: SparkSession, folder: str) -> None:
+    """Leaves the marker that running jobs look for before each batch."""
+    spark.range(1).coalesce(1).write.mode("overwrite").parquet(folder)
+
+
+def stop_asked(spark: SparkSession, folder: str | None) -> bool:
+    return folder is not None and folders.complete(spark, folder)
+
+
+def stopped_on_purpose(error: Exception) -> bool:
+    return StopRequested.__name__ in str(error)
+
+
 def start(
     stream: DataFrame,
     name: str,
@@ -39,14 +59,19 @@ def start(
     checkpoints: str,
     trigger: Mapping[str, object] | None = None,
     mode: str = "append",
+    stop_marker: str | None = None,
 ) -> StreamingQuery:
     """Starts a named query with its own checkpoint folder.
 
+    When the folder ``stop_marker`` exists the running batch ends, and the next one is refused before it writes anything.
+
     The query's id lives in the checkpoint: a restart keeps it and replays the
     open batch under the same number, a new checkpoint never reuses either.
     """
 
     def batch(rows: DataFrame, batch_id: int) -> None:
+        if stop_asked(rows.sparkSession, stop_marker):
+            raise StopRequested(f"{name}: stopped before batch {batch_id}")
         query_id = rows.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
         write(rows, query_id, batch_id)
 
@@ -66,6 +91,7 @@ def start_raw_and_documents(
     checkpoints: str,
     trigger=None,
     zone: str | None = None,
+    stop_marker: str | None = None,
 ) -> StreamingQuery:
     """Raw table and document index from one read and one parse.
 
@@ -82,7 +108,7 @@ def start_raw_and_documents(
         finally:
             rows.unpersist()
 
-    return start(stored_event_rows(messages, zone), "eventos_raw", write, checkpoints, trigger)
+    return start(stored_event_rows(messages, zone), "eventos_raw", write, checkpoints, trigger, stop_marker=stop_marker)
 
 
 def windowed(
@@ -94,7 +120,7 @@ def windowed(
     the lateness; rows later than that are dropped and counted in the
     progress. The last windows stay open until newer events arrive.
     """
-    return windows.sliding_stats(events.withWatermark("timestamp", lateness), scale=scale)
+    return windows.sliding_stats_by_panes(events.withWatermark("timestamp", lateness), scale=scale)
 
 
 def start_windows(
@@ -104,10 +130,11 @@ def start_windows(
     trigger=None,
     scale: int | None = None,
     zone: str | None = None,
+    stop_marker: str | None = None,
 ) -> StreamingQuery:
     rows = accepted(stored_event_rows(messages, zone))
     stats = payload.processed(windowed(rows.drop("processado_em"), scale=scale))
-    return start(stats, "eventos_agregados", sink, checkpoints, trigger)
+    return start(stats, "eventos_agregados", sink, checkpoints, trigger, stop_marker=stop_marker)
 
 
 def start_router(
@@ -118,13 +145,14 @@ def start_router(
     zone: str | None = None,
     routes: Collection[str] | None = None,
     discarded: Collection[str] = (),
+    stop_marker: str | None = None,
 ) -> StreamingQuery:
     """The ``routes`` (all by default) from one stream; sinks by route name, see router.split."""
 
     def write(texts: DataFrame, query_id: str, batch_id: int) -> None:
         write_routes(texts, sinks, query_id, batch_id, zone, routes, discarded)
 
-    return start(payload.decode(messages), "roteador", write, checkpoints, trigger)
+    return start(payload.decode(messages), "roteador", write, checkpoints, trigger, stop_marker=stop_marker)
 
 
 def replay(stream_start: Callable[..., StreamingQuery], *args, **kwargs) -> StreamingQuery:
@@ -134,13 +162,37 @@ def replay(stream_start: Callable[..., StreamingQuery], *args, **kwargs) -> Stre
     return query
 
 
-def run_until_one_stops(spark: SparkSession) -> None:
+def ended(query: StreamingQuery) -> bool:
+    """Waits for a query's end; False if it stopped because it was asked to."""
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as error:
+        if not stopped_on_purpose(error):
+            raise
+        return False
+    return True
+
+
+def run_until_one_stops(
+    spark: SparkSession, stop_marker: str | None = None, every: float = 5, between: Callable[[], None] = lambda: None
+) -> None:
     """Waits for all queries; when one ends or fails, stops the others.
 
-    A failure is raised here whichever query it comes from.
+    A failure is raised here whichever query it comes from. With ``stop_marker`` it looks for the marker ``every`` few seconds:
+    queries between two batches are stopped, the others when their batch has ended. ``between`` is called as often and may raise.
     """
     try:
-        spark.streams.awaitAnyTermination()
+        while not stop_asked(spark, stop_marker):
+            between()
+            try:
+                if spark.streams.awaitAnyTermination(every):
+                    return
+            except StreamingQueryException as error:
+                if not stopped_on_purpose(error):
+                    raise
+                break
+        while any(q.status["isTriggerActive"] for q in spark.streams.active):
+            time.sleep(min(every, 0.5))
     finally:
         for query in spark.streams.active:
             query.stop()

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from rivermark.sinks import folders, versions
+
 PROGRESS = """
     consulta string, id string, execucao string, lote bigint, momento string, linhas bigint,
     linhas_por_segundo double, marca_dagua string, linhas_em_estado bigint, linhas_atrasadas bigint
@@ -51,6 +53,11 @@ class ProgressLog(StreamingQueryListener):
         except Exception as error:  # a listener must not raise; the reader does
             self.failed.append(error)
 
+    def raise_failed(self) -> None:
+        """Raises what went wrong in storing a progress; a job calls it between batches."""
+        if self.failed:
+            raise self.failed[0]
+
     def onQueryIdle(self, event) -> None:
         pass
 
@@ -61,8 +68,7 @@ class ProgressLog(StreamingQueryListener):
         """Returns when an ended query's last progress is stored."""
         if not self._end_of(query.runId).wait(seconds):
             raise TimeoutError(f"no end of {query.name} within {seconds} s")
-        if self.failed:
-            raise self.failed[0]
+        self.raise_failed()
 
 
 @contextmanager
@@ -76,14 +82,49 @@ def progress_log(spark: SparkSession, folder: str) -> Iterator[ProgressLog]:
         spark.streams.removeListener(log)
 
 
-def progress_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per batch of every logged query and run."""
-    rows = spark.read.schema(PROGRESS).option("recursiveFileLookup", "true").parquet(f"{folder}/linhas")
+def _newest(rows: DataFrame) -> DataFrame:
+    """One row per query, run and batch: the one with rows, the later of two."""
     busy = F.struct(F.col("linhas") + F.col("linhas_atrasadas"), "momento")
     kept = rows.groupBy("id", "execucao", "lote").agg(F.max_by(F.struct("*"), busy).alias("row"))
     return kept.select("row.*")
 
 
+def _parts(spark: SparkSession, folder: str) -> list[str]:
+    return [e.name for e in folders.entries(spark, f"{folder}/linhas") if folders.complete(spark, f"{folder}/linhas/{e.name}")]
+
+
+def progress_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per batch of every logged query and run, folded or not."""
+    rows = versions.table_rows(spark, f"{folder}/dias", PROGRESS)
+    parts = _parts(spark, folder)
+    if parts:
+        rows = rows.unionByName(spark.read.schema(PROGRESS).parquet(*(f"{folder}/linhas/{name}" for name in parts)))
+    return _newest(rows)
+
+
+def fold_progress(spark: SparkSession, folder: str) -> int:
+    """Moves stored progress into a table by day, one file a day, and deletes the folders it came from; how many these were.
+
+    Queries may run meanwhile: only folders that are complete when this begins are taken. A fold that stops half-way
+    leaves folders whose rows the table has already; they replace themselves in the next one.
+    """
+    parts = _parts(spark, folder)
+    if not parts:
+        return 0
+    rows = spark.read.schema(PROGRESS).parquet(*(f"{folder}/linhas/{name}" for name in parts))
+    table, order = f"{folder}/dias", ["_cheia", "momento"]
+    number = versions.marks_of(versions.index(spark, table)).get("progresso", -1) + 1
+    busy = (F.col("linhas") + F.col("linhas_atrasadas")).alias("_cheia")
+    shaped = _newest(rows).select("*", busy)
+    day = F.substring("momento", 1, 10)
+    # a batch that began before midnight and was idle after it has two days; readers take the newest of both
+    versions.upsert_batch(shaped, table, ["id", "execucao", "lote"], order, day, "progresso", number)
+    for name in parts:
+        folders.remove(spark, f"{folder}/linhas/{name}")
+    versions.vacuum(spark, table)
+    return len(parts)
+
+
 def late_rows(progress: DataFrame) -> DataFrame:
     """Per query: rows dropped behind its watermark, over all runs."""
     return progress.groupBy("consulta").agg(F.sum("linhas_atrasadas").alias("linhas_atrasadas"))

@@ -118,7 +118,7 @@ def checked(marked: DataFrame, name: str, zone: str | None = None) -> DataFrame:
     early = rows.withColumnRenamed("violations", "early")
     late = quality.checked(early, branch.rules)
     broken = F.when(F.col("no_record"), F.col("early")).otherwise(F.concat("early", "violations"))
-    return late.withColumn("violations", broken).drop("early", "no_record")
+    return payload.settled(late.withColumn("violations", broken).drop("early", "no_record"))
 
 
 def accepted(rows: DataFrame) -> DataFrame:
