@@ -1,14 +1,16 @@
 """Removal of passages that an earlier document has, by pairwise alignment.
 
-Every line of at least ``MIN_WORDS`` words is rare enough to be evidence: each later
-document that holds it is paired with the first one that does. So a line that many
+Every line of at least ``MIN_WORDS`` words is rare enough to be evidence, and so is every run of shorter lines, one after
+the other but for empty ones, that is just long enough together (verse, lists, tables). Two letters of a script that is
+written without spaces count as a word. Each later
+document that holds such a line or run is paired with the first one that does. So a line that many
 documents share gives one pair per holder, not all pairs, and no line is left out
 for being frequent. Both documents of a pair are aligned by patience diff over line
 hashes; common blocks of at least ``MIN_WORDS`` words are deleted from the later one.
-What is left of it is aligned again, so moved blocks go as well, and lines that a
+What is left of it is aligned again, so moved blocks go as well, and lines and runs that a
 document repeats, which patience diff leaves alone, go if the first document has
-them. Every such line but its first holder's is thus deleted, short lines only
-inside a block.
+them. Every such line or run but its first holder's is thus deleted; short lines go only
+in a run or inside a block.
 
 Documents are ordered by id (null first), then by a hash of their text; rows with
 equal id and text are one document, never compared with each other, and treated
@@ -21,14 +23,25 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivermark.llm.rows import col, free_name, row_key, stored
+from rivermark.llm.spans import U64, mixed
 
 MIN_WORDS = 5
 SPACE = r"[\x20\x09-\x0D]+"
+UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")  # scripts written without spaces
+
+
+def size_of(line: Column) -> Column:
+    """Words of a line without white space at its ends."""
+    spaced = "".join(rf"\p{{Is{script}}}" for script in UNSPACED)
+    letters = F.length(F.regexp_replace(line, f"[^{spaced}]+", ""))
+    more = F.when(F.octet_length(line) > F.length(line), F.floor(letters / 2).cast("int")).otherwise(0)
+    return F.when(line == "", 0).otherwise(F.size(F.split(line, SPACE)) + more)
 
 
 def line_sequences(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -38,24 +51,57 @@ def line_sequences(documents: DataFrame, id_column: str, text_column: str) -> Da
         row_key(id_column, text_column).alias("key"),
         F.transform(F.split(col(text_column).cast("string"), "\n", -1), bare).alias("lines"),
     )
-    words = lambda line: F.when(line == "", 0).otherwise(F.size(F.split(line, SPACE)))
     return rows.select(
         "key",
         F.transform("lines", lambda line: F.xxhash64(line)).alias("hashes"),
         F.transform("lines", lambda line: F.hash(line)).alias("checks"),
-        F.transform("lines", words).alias("words"),
+        F.transform("lines", size_of).alias("words"),
     ).dropDuplicates(["key"])
 
 
+def short_runs(min_words: int):
+    """(key, line): for each place the run of short lines that begins there and is just long enough, as one hash."""
+
+    def run(batches):
+        for batch in batches:
+            hashes, checks, words = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("hashes", "checks", "words"))
+            owner = np.repeat(np.arange(batch.num_rows), np.asarray(batch.column("words").value_lengths()))
+            filled = np.flatnonzero(words > 0)
+            words, owner = words[filled], owner[filled]
+            names = [column[filled].astype(np.int64).view(np.uint64) for column in (hashes, checks)]
+            sums, longs = (np.concatenate([[0], np.cumsum(x)]) for x in (words, words >= min_words))
+            starts = np.flatnonzero(words < min_words)
+            ends = np.searchsorted(sums, sums[starts] + min_words)
+            whole = ends < len(sums)
+            starts, ends = starts[whole], ends[whole]
+            sound = (owner[ends - 1] == owner[starts]) & (longs[ends] == longs[starts])
+            starts, ends = starts[sound], ends[sound]
+            joined = [np.zeros(len(starts), U64) for _ in names]
+            for n in range(min_words):
+                inside = starts + n < ends
+                for value, name in zip(joined, names):
+                    value[inside] = mixed(value[inside] * U64(31) + name[starts[inside] + n] + U64(1))
+            line = pa.StructArray.from_arrays(
+                [pa.array(joined[0].view(np.int64)), pa.array(joined[1].astype(np.uint32).view(np.int32))], names=["hashes", "checks"]
+            )
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(owner[starts])), line], names=["key", "line"])
+
+    return run
+
+
 def overlapping(sequences: DataFrame, min_words: int) -> DataFrame:
-    """Pairs (key, first): ``first`` is the first document with one of the later document's long lines."""
-    lines = (
+    """Pairs (key, first): ``first`` is the first document with one of the later document's long lines or runs."""
+    key = sequences.schema["key"].dataType.simpleString()
+    long = (
         sequences.select("key", F.explode(F.arrays_zip("hashes", "checks", "words")).alias("line"))
         .where(F.col("line.words") >= min_words)
         .select("key", F.struct("line.hashes", "line.checks").alias("line"))
     )
+    runs = sequences.mapInArrow(short_runs(min_words), f"key {key}, line struct<hashes: long, checks: int>")
+    lines = long.unionByName(runs)
     firsts = lines.groupBy("line").agg(F.min("key").alias("first"), F.max("key").alias("last"))
-    shared = firsts.where("first != last").select("line", "first")
+    # stored, as an aggregate beside the join would keep a line that very many documents hold in one task
+    shared = stored(firsts.where("first != last").select("line", "first"), "shared-lines")
     return lines.join(shared, "line").where("key != first").select("key", "first").distinct()
 
 
@@ -98,7 +144,24 @@ def increasing(points: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return run[::-1]
 
 
-def common_lines(later: list, words: list[int], earlier: list, min_words: int) -> set[int]:
+def runs_of(lines: list, words: list[int], min_words: int) -> list[list[int]]:
+    """Places of each run of short lines that is just long enough."""
+    filled = [n for n in range(len(lines)) if words[n]]
+    found = []
+    for at in range(len(filled)):
+        size, run = 0, []
+        for n in filled[at:]:
+            if words[n] >= min_words:
+                break
+            size += words[n]
+            run.append(n)
+            if size >= min_words:
+                found.append(run)
+                break
+    return found
+
+
+def common_lines(later: list, words: list[int], earlier: list, their_words: list[int], min_words: int) -> set[int]:
     """Lines of the later document to delete."""
     if later == earlier:
         return set(range(len(later))) if sum(words) >= min_words else set()
@@ -117,15 +180,20 @@ def common_lines(later: list, words: list[int], earlier: list, min_words: int) -
             break
         gone |= found
         rest = [n for n in rest if n not in found]
-    return gone | {n for n in rest if words[n] >= min_words and later[n] in known}
+    gone |= {n for n in rest if words[n] >= min_words and later[n] in known}
+    mine = [run for run in runs_of(later, words, min_words) if not gone.issuperset(run)]
+    if mine:
+        theirs = {tuple(earlier[n] for n in run) for run in runs_of(earlier, their_words, min_words)}
+        gone.update(n for run in mine if tuple(later[n] for n in run) in theirs for n in run)
+    return gone
 
 
 def align_pairs(min_words: int):
     def align(batches):
         for batch in batches:
             cut = []
-            for later, words, earlier in zip(*(batch.column(c).to_pylist() for c in ("hashes", "words", "others"))):
-                cut.append(sorted(common_lines(later, words, earlier, min_words)))
+            for pair in zip(*(batch.column(c).to_pylist() for c in ("hashes", "words", "others", "their_words"))):
+                cut.append(sorted(common_lines(*pair, min_words)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array(cut, pa.list_(pa.int32()))], names=["key", "cut"]
             )
@@ -151,8 +219,8 @@ def kept_lines(documents: DataFrame, id_column: str, text_column: str, min_words
     """Per document that loses lines: key and a flag for each line."""
     sequences = stored(line_sequences(documents, id_column, text_column), "line-sequences")
     pairs = overlapping(sequences, min_words)
-    theirs = sequences.select(F.col("key").alias("first"), F.col("hashes").alias("others"))
-    both = pairs.join(theirs, "first").join(sequences, "key").select("key", "hashes", "words", "others")
+    theirs = sequences.select(F.col("key").alias("first"), F.col("hashes").alias("others"), F.col("words").alias("their_words"))
+    both = pairs.join(theirs, "first").join(sequences, "key").select("key", "hashes", "words", "others", "their_words")
     key = sequences.schema["key"].dataType.simpleString()
     cuts = both.mapInArrow(align_pairs(min_words), f"key {key}, cut array<int>").where("size(cut) > 0")
     places = cuts.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("cut"))).alias("cut"))

@@ -203,6 +203,56 @@ def test_blocks_moved_blocks_and_repeats(spark):
     assert line_dedup.line_dedup(frame.limit(0)).count() == 0
 
 
+def measured(line):
+    """Words, and half the letters of scripts without spaces."""
+    import regex
+
+    bare = line.strip(" \t\n\r\f\v")
+    letters = len(regex.findall(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]", bare))
+    return (len(words(bare)) + letters // 2) if bare else 0
+
+
+def evidence(text):
+    """Long lines and the shortest long-enough runs of short ones, with their places."""
+    lines = [line.strip(" \t\n\r\f\v") for line in text.split("\n")]
+    sizes, out = [measured(line) for line in lines], []
+    filled = [n for n in range(len(lines)) if sizes[n]]
+    for at, n in enumerate(filled):
+        if sizes[n] >= line_dedup.MIN_WORDS:
+            out.append(((lines[n],), [n]))
+            continue
+        run = []
+        for m in filled[at:]:
+            if sizes[m] >= line_dedup.MIN_WORDS:
+                break
+            run.append(m)
+            if sum(sizes[k] for k in run) >= line_dedup.MIN_WORDS:
+                out.append((tuple(lines[k] for k in run), run))
+                break
+    return out
+
+
+def test_verse_lists_and_text_without_spaces(spark):
+    random.seed(21)
+    verse = [" ".join(random.choice("ab cd ef gh ij kl".split()) for _ in range(random.randrange(1, 4))) for _ in range(40)]
+    signs = ["".join(chr(random.randrange(0x4E00, 0x4E40)) for _ in range(random.randrange(1, 30))) for _ in range(40)]
+    part = lambda lines: lines[(a := random.randrange(30)) : a + random.randrange(1, 12)]
+    own = lambda: [random.choice(["", "zz", "one two", "a longer line of six words", "字字"]) for _ in range(random.randrange(4))]
+    rows = [(n, "\n".join([*own(), *part(verse), *own(), *part(signs), *own()])) for n in range(120)]
+    rows += [(500, "\n".join(verse)), (501, "\n".join(verse)), (502, "\n".join(signs)), (503, "\n".join(signs))]
+    got = {r.doc_id: r for r in line_dedup.line_dedup(documents(spark, rows)).collect()}
+    seen = set()
+    for doc_id, text in rows:
+        removed, held = set(got[doc_id].removed), evidence(text)
+        for name, places in held:
+            assert name not in seen or removed.issuperset(places), (doc_id, name)
+        covered = {n for _, places in held for n in places}
+        assert not {n for name, places in held if len(places) == 1 and name not in seen for n in places} & removed
+        assert all(n in covered or measured(text.split("\n")[n]) < line_dedup.MIN_WORDS for n in removed)
+        seen |= {name for name, _ in held}
+    assert got[501].text == got[503].text == ""
+
+
 def test_patience_is_a_common_subsequence():
     random.seed(11)
     for _ in range(300):
