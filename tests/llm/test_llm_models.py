@@ -246,11 +246,78 @@ def test_exchange_does_not_lose_likelihood():
         assert found[-1] == 4 and likelihood(found) > likelihood(start)
 
 
-def test_class_probabilities_add_up():
-    steps = np.random.default_rng(1).random((3, 3))
-    share = (steps.sum(axis=0) + 1) / (steps.sum() + 3)
-    rows = (steps + class_lm.PRIOR * share) / (steps.sum(axis=1, keepdims=True) + class_lm.PRIOR)
-    assert rows.sum(axis=1) == pytest.approx(1)
+def test_all_words_move_without_loss():
+    """Each to the class that is likeliest before the move; the likelihood of all rises until nothing moves."""
+    rng = np.random.default_rng(8)
+    size, classes = 200, class_lm.CLASSES
+    counts = [{int(j): int(rng.integers(1, 9)) for j in rng.choice(classes + 1, rng.integers(1, 5), replace=False)} for _ in range(size)]
+    now = rng.integers(0, 8, size)
+
+    def table_with(assignment):
+        table = np.zeros((classes + 1, classes + 1))
+        for own, k in zip(counts, assignment):
+            for j, n in own.items():
+                table[j, k] += n
+        return table
+
+    steps = pa.array([[j + 128 * n for j, n in sorted(own.items())] for own in counts], pa.list_(pa.int64()))
+    owner, before, n, starts = class_lm.unpacked(pa.RecordBatch.from_arrays([steps], names=["steps"]))
+    values = []
+    for _ in range(6):
+        table = table_with(now)
+        values.append(class_lm.likelihood(table))
+        got = class_lm.best_classes(table, owner, before, n, starts, now)
+        log = lambda j, k: math.log(table[j, k] / table[:, k].sum()) if table[j, k] else class_lm.NEVER
+        for word, own in enumerate(counts):
+            value = lambda k: sum(c * log(j, k) for j, c in own.items())
+            assert value(got[word]) == pytest.approx(max(value(k) for k in range(classes)))
+        now = got
+    assert values == sorted(values) and values[-1] > values[0]
+
+
+def test_rounds_raise_the_likelihood_and_scores_are_the_formula(spark):
+    random.seed(12)
+    kinds = {c: [f"{c}{random.choice('klmn')}{n}" for n in range(150)] for c in "abcd"}
+    order = {"a": "b", "b": "c", "c": "d", "d": "a"}
+
+    def text():
+        c, out = random.choice("abcd"), []
+        for _ in range(random.randrange(0, 60)):
+            out.append(random.choice(kinds[c]))
+            c = order[c]
+        return " ".join(out)
+
+    rows = [(n, text(), "en") for n in range(400)] + [(1, None, "en"), (2, "new words here", "en")]
+    frame = documents(spark, rows)
+    training = F.col("doc_id") % 5 != 0
+    chunks, count = class_lm.chunked(frame, "doc_id", "text", training)
+    words, totals = class_lm.vocabulary(chunks)
+    model, classes = class_lm.train(chunks, totals, count)
+    assert (10**model.steps).sum(axis=1) == pytest.approx(1)
+    of_word = {r["word"]: r["class"] for r in classes.collect()}
+    n_of = {r.word: r.total for r in totals.collect()}
+    emitted = Counter()
+    for word, k in of_word.items():
+        if k < class_lm.CLASSES:
+            emitted[k] += (n_of[word] + class_lm.ADDED) / 10 ** model.sizes[k]
+    assert all(total < 1 for total in emitted.values())  # the rest is for unknown words
+    got = Counter((r.doc_id, round(r.score, 6)) for r in class_lm.scored(frame, training).collect())
+    want = Counter()
+    for doc_id, content, _ in rows:
+        spans = class_lm.Words(pa.array([content or ""]), class_lm.NOT_SPACE)
+        units, tail, before, score = class_lm.units_of(spans, spans.hashes, model.core), class_lm.tails(spans), class_lm.CLASSES, 0.0
+        for h, unit, t in zip(spans.hashes.view(np.int64).tolist(), units, tail):
+            k = of_word.get(h, model.unknown[t])
+            score += model.steps[before, k] + math.log10(n_of.get(h, 0) + class_lm.ADDED) - model.sizes[k]
+            before = model.classes[unit]
+        want[doc_id, round(score + model.steps[before, class_lm.CLASSES], 6)] += 1
+    assert got == want
+    contexts = class_lm.all_contexts(chunks.where("training").select("text"), model.core, model.classes, 200)  # merged in parts
+    rounds = [class_lm.likelihood(class_lm.exchanged(contexts, model.classes)[1])]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(class_lm, "ROUNDS", 0)
+        rounds.append(class_lm.likelihood(class_lm.exchanged(contexts, model.classes)[1]))
+    assert rounds[0] > rounds[1]
 
 
 def test_class_model_without_rows(spark):
