@@ -10,7 +10,8 @@ nothing is gained. It is done in two steps.
 * *Classes of the word itself.* Every training word, however rare, is exchanged by what stands before it: how
   often which class does is counted once for each word, and in each of ``ROUNDS`` the tasks that hold these counts choose the best class
   for each of their words by the table of classes before classes, which is sent to them. The
-  table is then counted anew. Words move all at once, by a rule that never lowers the likelihood. It begins with the units' classes.
+  table is then counted anew. Words move all at once, by a rule that never lowers the likelihood. It begins with the units' classes,
+  and a word stays there unless there is evidence: what stood before a word that was seen once or twice says little of it.
 
 A word that is not in the training texts has the class that most training words with its last bytes have, core words left out. The text end is a class of
 its own, and what stands before the first word.
@@ -42,6 +43,7 @@ TAIL_BYTES = 3
 CHUNK = 16 << 20
 SWEEPS = 20  # over the units
 ROUNDS = 2  # over all words
+HOME = 3.0  # a word leaves its unit's class when that makes what stands before it exp(HOME) times likelier
 MERGED = 64
 PRIOR = 1.0  # of a class after a class
 ADDED = 1.0  # to the count of every word of a class
@@ -255,17 +257,18 @@ def unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     return np.repeat(np.arange(len(sizes)), sizes), packed % 128, packed // 128, np.cumsum(sizes) - sizes
 
 
-def best_classes(table: np.ndarray, owner, before, n, starts, now: np.ndarray) -> np.ndarray:
+def best_classes(table: np.ndarray, owner, before, n, starts, now: np.ndarray, home: np.ndarray) -> np.ndarray:
     """For each word the class that makes what stands before it likeliest, by the table of classes before (rows) and classes
-    (columns); the present one if none is better.
+    (columns), where ``home`` has an advantage of HOME; the present one if none is better.
 
     The likelihood of all words is the greatest sum of these over all conditional distributions, so moving every word at once
-    never lowers it, and nor does counting the table anew.
+    never lowers it (with HOME for each word at home), and nor does counting the table anew.
     """
     free = table[:, :CLASSES]
     share = np.log(np.maximum(free, 1)) - np.log(np.maximum(free.sum(axis=0), 1))
     value = np.add.reduceat(n[:, None] * np.where(free > 0, share, NEVER)[before], starts, axis=0)
     rows = np.arange(len(now))
+    value[rows, home] += HOME
     value[rows, now] += 1e-9 * np.abs(value[rows, now])
     return value.argmax(axis=1)
 
@@ -274,19 +277,20 @@ NEVER = -50.0  # log of what a class has not been seen after; below all that hav
 PART = 1 << 14  # steps weighed at once
 
 
-def reassign(table: np.ndarray):
+def reassign(table: np.ndarray, unit_classes: np.ndarray):
     """(word, unit, steps, class) with new classes."""
 
     def run(batches):
         for batch in batches:
             owner, before, n, starts = unpacked(batch)
             now = batch.column("class").to_numpy()
+            home = np.minimum(unit_classes[batch.column("unit").to_numpy()], CLASSES - 1)
             found, row = now.astype(np.int32), 0
             while row < len(now):
                 end = max(row + 1, int(np.searchsorted(starts, starts[row] + PART)))
                 low, high = starts[row], starts[end] if end < len(now) else len(n)
                 mine = np.minimum(now[row:end], CLASSES - 1)
-                part = best_classes(table, owner[low:high] - row, before[low:high], n[low:high], starts[row:end] - low, mine)
+                part = best_classes(table, owner[low:high] - row, before[low:high], n[low:high], starts[row:end] - low, mine, home[row:end])
                 found[row:end] = np.where(now[row:end] == CLASSES, CLASSES, part)  # the text end keeps its own
                 row = end
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found)], names=batch.schema.names)
@@ -323,7 +327,7 @@ def exchanged(contexts: DataFrame, unit_classes: np.ndarray) -> tuple[DataFrame,
     assigned = contexts.withColumn("class", F.element_at(of_unit, F.col("unit") + 1))
     for _ in range(ROUNDS):
         table = counted_table(assigned)
-        assigned = stored(assigned.mapInArrow(reassign(table), "word long, unit int, steps array<long>, class int"), "assigned")
+        assigned = stored(assigned.mapInArrow(reassign(table, unit_classes), "word long, unit int, steps array<long>, class int"), "assigned")
     return assigned, counted_table(assigned)
 
 

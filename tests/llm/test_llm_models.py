@@ -251,7 +251,7 @@ def test_all_words_move_without_loss():
     rng = np.random.default_rng(8)
     size, classes = 200, class_lm.CLASSES
     counts = [{int(j): int(rng.integers(1, 9)) for j in rng.choice(classes + 1, rng.integers(1, 5), replace=False)} for _ in range(size)]
-    now = rng.integers(0, 8, size)
+    now = home = rng.integers(0, 8, size)
 
     def table_with(assignment):
         table = np.zeros((classes + 1, classes + 1))
@@ -265,11 +265,11 @@ def test_all_words_move_without_loss():
     values = []
     for _ in range(6):
         table = table_with(now)
-        values.append(class_lm.likelihood(table))
-        got = class_lm.best_classes(table, owner, before, n, starts, now)
+        values.append(class_lm.likelihood(table) + class_lm.HOME * (now == home).sum())
+        got = class_lm.best_classes(table, owner, before, n, starts, now, home)
         log = lambda j, k: math.log(table[j, k] / table[:, k].sum()) if table[j, k] else class_lm.NEVER
         for word, own in enumerate(counts):
-            value = lambda k: sum(c * log(j, k) for j, c in own.items())
+            value = lambda k: sum(c * log(j, k) for j, c in own.items()) + class_lm.HOME * (k == home[word])
             assert value(got[word]) == pytest.approx(max(value(k) for k in range(classes)))
         now = got
     assert values == sorted(values) and values[-1] > values[0]
