@@ -6,11 +6,12 @@ ones that with the longer host). Urls that no rule fits are judged by a
 multinomial naive Bayes model learned from those that one does: its tokens are the words of the host and of the path.
 
 Host names are concatenated words. They are split by unigram Viterbi: the best product of word
-probabilities, with counts from the words of all page texts. Only pieces that a distinct host holds are joined
-with the word table. A piece that is no word costs ten times more per character, as a long
+probabilities, with counts from the words of all page texts. Only pieces of a distinct host that are as long as some
+word are joined with the word table. A piece that is no word costs ten times more per character, as a long
 unknown string is less likely to be one word.
 
-Token weights are kept in ``BUCKETS`` hash buckets, so the model that is sent to the executors has a fixed size.
+Every token has a weight of its own. Weights are joined to the tokens of distinct hosts and distinct paths and added up there as whole
+billionths, so the order of additions does not matter; pages get the two sums. A score of exactly 0.5 is allowed.
 Words are runs of ASCII letters and characters beyond ASCII, numbers are one token.
 
 Host: after the first ``://`` up to ``/ ? #`` or the end, A-Z lower-cased; path: from there up to ``? #`` or the end; both
@@ -21,14 +22,15 @@ repeated rows are judged alike.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rivermark.llm.rows import col, stored
-from rivermark.llm.spans import LETTERS, Words, slices
+from rivermark.llm.spans import LETTERS, Words, slices, span_hash
 
 # fixed values: the rules of the production filter
 RULES = [
@@ -38,8 +40,7 @@ RULES = [
     ("net/es/", "block"),
     ("net/fr/", "block"),
 ]
-LONGEST = 24
-BUCKETS = 1 << 18
+UNIT = 10**9  # of whole numbers in a weight
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -61,58 +62,64 @@ def longest_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tu
 
 
 def count_words(batches):
+    """(word, size, n): hash, bytes and number of the words of texts."""
     for batch in batches:
         for part in slices(batch, "text"):
-            hashes, n = np.unique(Words(part.column("text"), LETTERS).hashes, return_counts=True)
+            words = Words(part.column("text"), LETTERS)
+            hashes, first, n = np.unique(words.hashes, return_index=True, return_counts=True)
+            size = (words.ends - words.starts)[first]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"]
+                [pa.array(hashes.view(np.int64)), pa.array(size.astype(np.int32)), pa.array(n.astype(np.int64))],
+                names=["word", "size", "n"],
             )
 
 
-def host_pieces(batches):
-    """Every run of at most ``LONGEST`` characters of each word of a host: (host, run, start, end, hash)."""
-    for batch in batches:
-        for part in slices(batch, "host", 1 << 14):
-            words = Words(part.column("host"), LETTERS)
-            sizes = words.ends - words.starts
-            reach = np.minimum(LONGEST, sizes)
-            starts, ends, owner = [], [], []
-            for length in range(1, int(reach.max(initial=0)) + 1):
-                count = np.where(sizes >= length, sizes - length + 1, 0)
-                word = np.repeat(np.arange(len(words)), count)
-                at = np.arange(len(word)) - np.repeat(np.cumsum(count) - count, count)
-                owner.append(word)
-                starts.append(words.starts[word] + at)
-                ends.append(words.starts[word] + at + length)
-            if not owner:
-                continue
-            owner, starts, ends = map(np.concatenate, (owner, starts, ends))
-            words_of = Words.__new__(Words)
-            words_of.raw, words_of._sums, words_of.starts, words_of.ends = words.raw, words._sums, starts, ends
-            base = words.cuts[words.text_of[owner]]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("host").take(pa.array(words.text_of[owner])),
-                    pa.array((starts - base).astype(np.int32)),
-                    pa.array((ends - base).astype(np.int32)),
-                    pa.array(words_of.hashes.view(np.int64)),
-                ],
-                names=["host", "start", "end", "word"],
-            )
+def host_pieces(lengths: list[int]):
+    """Every run of each word of a host that is as long as some word: (host, start, end, word), ``word`` the run's hash."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "host", 1 << 14):
+                words = Words(part.column("host"), LETTERS)
+                sizes = words.ends - words.starts
+                for length in lengths:
+                    count = np.where(sizes >= length, sizes - length + 1, 0)
+                    owner = np.repeat(np.arange(len(words)), count)
+                    if not len(owner):
+                        continue
+                    starts = words.starts[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+                    base = words.cuts[words.text_of[owner]]
+                    hashes = span_hash(words.sums, starts, starts + length)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column("host").take(pa.array(words.text_of[owner])),
+                            pa.array((starts - base).astype(np.int32)),
+                            pa.array((starts + length - base).astype(np.int32)),
+                            pa.array(hashes.view(np.int64)),
+                        ],
+                        names=["host", "start", "end", "word"],
+                    )
+
+    return run
 
 
 def split_run(run: bytes, at: int, counts: dict[tuple[int, int], int], total: int) -> list[bytes]:
-    """The best split of the run that starts at byte ``at`` of its host."""
+    """The best split of the run that starts at byte ``at`` of its host; ``counts`` has its known pieces."""
+    known: dict[int, list[tuple[int, float]]] = {}
+    for (start, end), n in counts.items():
+        if at <= start and end <= at + len(run):
+            known.setdefault(end - at, []).append((start - at, math.log(n / total)))
+    unknown, each = math.log(10 / (total + 1)), math.log(10)
     best, back = [0.0], [0]
+    open_, opened = 0.0, 0  # the best start of an unknown piece, each of whose characters costs the same
     for end in range(1, len(run) + 1):
-        options = []
-        for start in range(max(0, end - LONGEST), end):
-            n = counts.get((at + start, at + end))
-            cost = np.log(n / total) if n else np.log(10 / (total + 1)) - (end - start) * np.log(10)
-            options.append((best[start] + cost, start))
+        options = [(best[start] + cost, start) for start, cost in known.get(end, ())]
+        options.append((open_ + unknown - end * each, opened))
         score, start = max(options)
         best.append(score)
         back.append(start)
+        if score + end * each > open_:
+            open_, opened = score + end * each, end
     words, end = [], len(run)
     while end:
         words.append(run[back[end] : end])
@@ -142,52 +149,40 @@ def segment(total: int):
 
 def segmented_hosts(hosts: DataFrame, texts: DataFrame) -> DataFrame:
     """(host, words) of distinct ``hosts`` (host), by the words of ``texts`` (text)."""
-    counts = texts.mapInArrow(count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = texts.mapInArrow(count_words, "word long, size int, n long").groupBy("word", "size").agg(F.sum("n").alias("n"))
     counts = stored(counts, "word-counts")
     total = counts.agg(F.sum("n")).first()[0] or 1
-    pieces = hosts.mapInArrow(host_pieces, "host string, start int, end int, word long").join(counts, "word")
+    lengths = sorted(r["size"] for r in counts.select("size").distinct().collect())  # far fewer than the longest word has bytes
+    pieces = hosts.mapInArrow(host_pieces(lengths), "host string, start int, end int, word long").join(counts, "word")
     known = pieces.groupBy("host").agg(F.collect_list(F.struct("start", "end", "n")).alias("known"))
     return hosts.join(known, "host", "left").select("host", "known").mapInArrow(segment(total), "host string, words array<string>")
 
 
-def tokens(words: Column, path: Column) -> Column:
-    """Host words and path words; numbers are one token."""
+def path_tokens(path: Column) -> Column:
+    """Words of a path; numbers are one token."""
     parts = F.filter(F.split(F.translate(path, UPPER, LOWER), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda t: t != "")
-    parts = F.transform(parts, lambda t: F.concat(F.lit("/"), F.when(t.rlike("^[0-9]+$"), "0").otherwise(t)))
-    return F.concat(F.coalesce(words, F.array().cast("array<string>")), parts)
+    return F.transform(parts, lambda t: F.concat(F.lit("/"), F.when(t.rlike("^[0-9]+$"), "0").otherwise(t)))
 
 
-def log_odds(pages: DataFrame) -> tuple[np.ndarray, float]:
-    """Weight of every bucket towards block, and the prior, from pages (buckets, verdict) with a verdict."""
-    judged = pages.where("verdict is not null")
+def token_weights(judged: DataFrame) -> tuple[DataFrame, float]:
+    """(token, weight) towards block in billionths, and the prior, from rows (words, path, verdict) with a verdict."""
     sides = {r.verdict: r.n for r in judged.groupBy("verdict").agg(F.count("*").alias("n")).collect()}
-    prior = float(np.log(sides.get("block", 0) + 1e-9) - np.log(sides.get("allow", 0) + 1e-9))
-    if len(sides) < 2:
-        return np.zeros(BUCKETS), prior
+    prior = math.log(sides.get("block", 0) + 1e-9) - math.log(sides.get("allow", 0) + 1e-9)
     block = (F.col("verdict") == "block").cast("long")
-    rows = judged.select(F.explode("buckets").alias("bucket"), block.alias("block")).groupBy("bucket").agg(
-        F.sum("block").alias("block"), F.sum(1 - F.col("block")).alias("allow")
-    )
-    found = rows.toArrow()  # one row per bucket at most
-    counts = np.zeros((2, BUCKETS))
-    for side, name in enumerate(("allow", "block")):
-        counts[side][found.column("bucket").to_numpy()] = found.column(name).to_numpy()
-    used = max((counts.sum(axis=0) > 0).sum(), 1)
-    logs = np.log((counts + 1) / (counts.sum(axis=1, keepdims=True) + used))
-    return np.where(counts.sum(axis=0) > 0, logs[1] - logs[0], 0.0), prior
-
+    rows = judged.select(F.explode(F.concat("words", path_tokens(F.col("path")))).alias("token"), block.alias("block"))
+    counts = rows.groupBy("token").agg(F.sum("block").alias("block"), F.sum(1 - F.col("block")).alias("allow"))
+    counts = stored(counts, "token-counts")
+    used = counts.agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"), F.count("*").alias("kinds")).first()
+    if len(sides) < 2:
+        return counts.select("token", F.lit(0).cast("long").alias("weight")), prior
+    log = lambda side: F.log((F.col(side) + 1) / (used[side] + used.kinds))
+    return counts.select("token", F.round((log("block") - log("allow")) * UNIT).cast("long").alias("weight")), prior
 
-def judge(shared, prior: float):
-    def run(batches):
-        for batch in batches:
-            lists = batch.column("buckets")
-            sizes = np.asarray(lists.value_lengths())
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            odds = prior + np.bincount(owner, shared.value[np.asarray(lists.flatten())], len(sizes))
-            share = pa.array(1 / (1 + np.exp(-np.clip(odds, -50, 50))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, share], names=[*batch.schema.names, "block_score"])
 
-    return run
+def summed(each: DataFrame, key: str, weights: DataFrame, name: str) -> DataFrame:
+    """(key, name): the weights of the tokens of each (key, tokens) added up, stored."""
+    rows = each.select(key, F.explode("tokens").alias("token")).join(weights, "token")
+    return stored(rows.groupBy(key).agg(F.sum("weight").alias(name)), name)
 
 
 def url_filter(pages: DataFrame, rules: list[tuple[str, str]] = RULES) -> DataFrame:
@@ -199,12 +194,15 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str]] = RULES) -> DataFr
     rows = rows.withColumns({"rule": rule, "verdict": verdict})
     texts = pages.select(F.regexp_replace(col("html").cast("string"), "<[^>]*>", " ").alias("text"))
     hosts = segmented_hosts(rows.select("host").distinct(), texts)
+    hosts = stored(hosts, "host-words")
     known = rows.join(hosts, "host")
-    bucket = F.transform(tokens(F.col("words"), F.col("path")), lambda t: F.pmod(F.xxhash64(t), F.lit(BUCKETS)).cast("int"))
-    known = stored(known.withColumn("buckets", bucket), "url-tokens")
-    weights, prior = log_odds(known)
-    schema = T.StructType([*known.schema.fields, T.StructField("block_score", T.DoubleType())])
-    judged = known.mapInArrow(judge(pages.sparkSession.sparkContext.broadcast(weights), prior), schema)
+    weights, prior = token_weights(known.where("verdict is not null").select("words", "path", "verdict"))
+    of_host = summed(hosts.select("host", F.col("words").alias("tokens")), "host", weights, "host_odds")
+    paths = rows.select("path").distinct()
+    of_path = summed(paths.select("path", path_tokens(F.col("path")).alias("tokens")), "path", weights, "path_odds")
+    judged = known.join(of_host, "host", "left").join(of_path, "path", "left")
+    odds = prior + (F.coalesce("host_odds", F.lit(0)) + F.coalesce("path_odds", F.lit(0))) / UNIT
+    judged = judged.withColumn("block_score", 1 / (1 + F.exp(-F.greatest(F.least(odds, F.lit(50.0)), F.lit(-50.0)))))
     by_method = F.when(F.col("block_score") > 0.5, "block").otherwise("allow")
     return judged.select(
         "page_id", "host", "path", "rule", F.coalesce("verdict", by_method).alias("verdict"), "words", "block_score"

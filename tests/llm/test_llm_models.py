@@ -363,6 +363,49 @@ def test_hosts_are_split_into_known_words(spark):
     assert all("".join(words) == re.sub("[^a-z]", "", host) for host, words in by_host.items())
 
 
+def test_long_words_are_found(spark):
+    long = "verylongcompoundwordoftwentyeightx", "длинноеслово", "x" * 70
+    texts = spark.createDataFrame([(" ".join(long) + " cat",)] * 20, "text string")
+    hosts = [f"{word}cat.org" for word in long] + ["q" * 40 + "cat.org"]
+    got = url_filter.segmented_hosts(spark.createDataFrame([(h,) for h in hosts], "host string"), texts)
+    by_host = {r.host: r.words for r in got.collect()}
+    assert [by_host[h][:2] for h in hosts] == [[word, "cat"] for word in [*long, "q" * 40]]
+
+
+def test_splits_and_scores_equal_brute_force(spark):
+    random.seed(31)
+    total, words = 1000, {w: random.randrange(1, 90) for w in ["a", "ab", "abc", "ba", "cab", "bcab"]}
+    cost = lambda w: math.log(words[w] / total) if w in words else math.log(10 / (total + 1)) - len(w) * math.log(10)
+
+    def splits(text):
+        return [[]] if not text else [[text[:n], *rest] for n in range(1, len(text) + 1) for rest in splits(text[n:])]
+
+    for _ in range(60):
+        run = "".join(random.choice("abcd") for _ in range(random.randrange(1, 9)))
+        held = {(n + 5, m + 5): words[run[n:m]] for n in range(len(run)) for m in range(n + 1, len(run) + 1) if run[n:m] in words}
+        got = [p.decode() for p in url_filter.split_run(run.encode(), 5, held, total)]
+        value = lambda parts: sum(map(cost, parts))
+        assert value(got) == pytest.approx(max(map(value, splits(run)))), run
+    rows = [(n, f"http://{random.choice(['m.example.com', 'shop.com', 'b.net'])}/{random.choice(['en', 'es', 'buy'])}/{n % 7}/w{n % 5}") for n in range(120)]
+    rows += [(200 + n, f"http://shop.org/{random.choice(['en', 'es', 'buy'])}/{n}/w{n % 5}/new") for n in range(20)]
+    frame = spark.createDataFrame([(i, u, "shop example") for i, u in rows], "page_id long, url string, html string")
+    got = url_filter.url_filter(frame).collect()
+    cut = lambda r: [*r.words, *("/" + ("0" if t.isdigit() else t) for t in re.findall("[a-z0-9]+", r.path))]
+    sides = {"allow": Counter(), "block": Counter()}
+    pages = Counter()
+    for r in got:
+        if r.rule:
+            sides[r.verdict].update(cut(r))
+            pages[r.verdict] += 1
+    kinds = len(set(sides["allow"]) | set(sides["block"]))
+    log = lambda side, t: math.log((sides[side][t] + 1) / (sum(sides[side].values()) + kinds))
+    for r in got:
+        odds = math.log(pages["block"] / pages["allow"])
+        odds += sum(log("block", t) - log("allow", t) for t in cut(r) if sides["allow"][t] + sides["block"][t])
+        assert r.block_score == pytest.approx(1 / (1 + math.exp(-odds)), abs=1e-6)
+        assert r.rule or r.verdict == ("block" if odds > 0 else "allow")
+
+
 def test_the_method_follows_the_judged_urls(spark):
     rows = [(n, f"http://m.example.com/en/{n}") for n in range(40)] + [(n, f"http://shop.com/buy/{n}") for n in range(40, 80)]
     rows += [(90, "http://other.org/en/5"), (91, "http://shop.org/buy/7")]
