@@ -120,7 +120,9 @@ def test_limits_do_not_sort_the_table(data):
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
 
 
-BATCH_KEYS = [k for k in sorted(entry_module.queries()) if not re.match(r"(s0[12]|t(02|06|08|11|13)|k(03|07|13|14))_", k)]
+# Not those that run streams or fill stores while they are built.
+RUNS = r"(s0[12]|t(02|03|04|06|07|08|10|11|13)|k(02|03|07|13|14))_|k08_upsert_sink|k10_(store|fold)|q05_email|q06_(orphans_r|waiting)|(a13|p15)_.*(incremental|indexed)"
+BATCH_KEYS = [k for k in sorted(entry_module.queries()) if not re.match(RUNS, k)]
 
 
 @pytest.mark.parametrize("key", BATCH_KEYS)
