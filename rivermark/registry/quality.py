@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rivermark import schemas
 from rivermark.operators import keyed, payload, quality
 from rivermark.registry.base import EVENTOS, LEADS, SESSIONS, Data, query
-from rivermark.session import shared_folder
+from rivermark.session import rocksdb_state, shared_folder
 from rivermark.sinks import files, versions
 from rivermark.streaming import constraints, jobs, router, sync, waiting
 from rivermark.streaming.lookup import Lookup
@@ -279,7 +279,8 @@ def waiting_state(d: Data):
         children = d.spark.readStream.schema(sessions.schema).parquet(f"{root}/entrada")
         parents = d.spark.readStream.schema("id string").parquet(f"{root}/leads")
         rows = waiting.admitted(children, parents, "lead_id")
-        jobs.replay(jobs.start, rows, "espera", jobs.file_sink(f"{root}/sessions"), f"{root}/checkpoints")
+        with rocksdb_state(d.spark):
+            jobs.replay(jobs.start, rows, "espera", jobs.file_sink(f"{root}/sessions"), f"{root}/checkpoints")
     stored = files.table_rows(d.spark, f"{root}/sessions", "id string, destino string").where("destino = 'aceito'")
     open_ = waiting.still_waiting(d.spark, f"{root}/checkpoints/espera").select("id", F.lit("espera").alias("tabela"))
     return stored.select("id", F.lit("sessions").alias("tabela")).unionByName(open_)

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def spark_session(app: str = "rivermark", master: str | None = None, **conf: str) -> SparkSession:
     """Session in UTC with adaptive execution and RocksDB streaming state.
@@ -22,9 +27,7 @@ def spark_session(app: str = "rivermark", master: str | None = None, **conf: str
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass": (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        ),
+        STATE_STORE: ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     settings.update(conf)
@@ -33,6 +36,21 @@ def spark_session(app: str = "rivermark", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, whatever the session is set to; a query keeps the settings
+    of its start."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
 @cache
 def trial_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"rivermark-{application}-")

@@ -2,6 +2,7 @@
 
 Other than ``constraints.parent_sink`` this reads no table: the state knows which leads have come, and holds what waits for the
 others. A batch touches the state of its own leads only, and a restart goes on from the checkpoint.
+Several states of one key need RocksDB: start the stream inside ``session.rocksdb_state``.
 """
 
 from __future__ import annotations
