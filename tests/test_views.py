@@ -56,6 +56,16 @@ def test_the_index_prunes_buckets_and_finds_what_a_scan_finds(spark, tmp_path):
     assert "PushedFilters: [In(termo" in plan.replace("[IsNotNull(termo), In", "[In") or "In(termo" in plan
 
 
+def test_postings_are_blocks_made_without_a_shuffle(spark):
+    docs = spark.createDataFrame([(1, "b a b"), (2, "a " * 5000), (3, None), (4, " "), (None, "B")], "id long, text string").coalesce(1)
+    rows = postings.postings(docs, "id", "text", 16)
+    assert "Exchange" not in plan_of(rows)
+    got = rows.collect()
+    assert all(len(r.chaves) == len(r.posicoes) <= postings.BLOCK for r in got)
+    each = sorted((r.termo, str(k), p) for r in got for k, p in zip(r.chaves, r.posicoes))
+    assert each == sorted([("a", "1", 1), ("b", "1", 0), ("b", "1", 2), ("b", "None", 0), *(("a", "2", n) for n in range(5000))])
+
+
 def test_checksums_find_changed_missing_and_extra_rows(spark):
     rows = [(f"k{n}", n, None if n % 5 else "x") for n in range(200)]
     other = [r for r in rows if r[1] % 50] + [("new", 1, None)]
