@@ -8,9 +8,9 @@ A vector is cut into segments, and for each its mean and deviation are stored. W
 d, e of two segments of L components, their product lies within L*m*n +- L*d*e. These sums over the segments
 bound the score from both sides. A scan compares its vectors with the anchors by one segment first, then, where
 the bounds leave it open, by ``FANOUT`` times as many, down to ``FINEST``; the summaries of a level follow from those of
-the next finer one. A pair goes on only while its bounds reach into a window (the positive's shares, for
-positives all numbers) and up to the k-th exact product the task has found in that window. What is left is scored
-exactly, so results are exact. A task hands on the k best of each window; these are merged.
+the next finer one. A pair goes on only while its bounds reach into the span of its query's windows (the positives' shares, for
+positives all numbers) above the k-th exact products the task has found in them so far; a task takes few vectors at first, so
+that it soon has found some. What is left is scored exactly, so results are exact. A task hands on the k best of each window; these are merged.
 
 Rows of one vector and label are one entry with its ``POSITIVES + 1`` smallest ids: more cannot be among the results. Anchors of
 one vector and label are one query, and its positives of one score are one window. Queries are taken in blocks
@@ -38,7 +38,10 @@ POSITIVES, NEGATIVES = 5, 3
 LEAST, MOST = 50, 95  # percent of the positive's score
 FANOUT, FINEST = 4, 16  # segments of a level in those of the one above, and of the finest level
 BLOCK = 1024
-PAIRS = 1 << 15  # scored exactly at once
+PAIRS = 1 << 15  # compared with the windows at once
+ROWS = 64, 2048  # entries compared with a block at once: at first, when no product has been found, and at most
+DENSE = 64  # a share of pairs above one in so many is scored as a product of matrices
+EXACT = 2.0**52  # doubles hold every sum of integers up to here
 NOTHING = np.int64(-(2**63))
 FOUND = "query long, window long, id long, score long"
 
@@ -147,11 +150,13 @@ class Block:
         self.high = np.array([MOST * s // 100 for s in scores] + [-np.inf], float)
 
     def exact_range(self) -> tuple[np.ndarray, np.ndarray]:
+        """As ``low`` and ``high``, in integers."""
         if self.same:
-            return np.full(len(self.keys), NOTHING), np.full(len(self.keys), ~NOTHING)
-        scores = self.keys.tolist()
-        low = np.array([-(-LEAST * s // 100) for s in scores], np.int64)
-        return low, np.array([MOST * s // 100 for s in scores], np.int64)
+            low, high = [NOTHING] * len(self.keys), [~NOTHING] * len(self.keys)
+        else:
+            scores = self.keys.tolist()
+            low, high = [-(-LEAST * s // 100) for s in scores], [MOST * s // 100 for s in scores]
+        return np.array([*low, ~NOTHING], np.int64), np.array([*high, NOTHING], np.int64)
 
 
 def scan(shared):
@@ -161,24 +166,29 @@ def scan(shared):
         block: Block = shared.value
         best = Best(len(block.keys), block.k)
         low, high = block.exact_range()
+        step = ROWS[0]
         owner = np.arange(len(block.keys)) if block.same else block.owner
         for batch in batches:
             matrix = as_matrix(batch.column("vector"), block.matrix.shape[1])
+            norms = np.sqrt((matrix.astype(float) ** 2).sum(axis=1))
             labels = np.array([block.codes.get(label, -1) for label in batch.column("label").to_pylist()])
-            stored_levels = levels(*(np.array(batch.column(c).to_pylist(), float).reshape(len(matrix), -1) for c in ("means", "deviations")))
-            lists = batch.column("ids")
-            query, row = candidates(block, stored_levels, matrix, labels, best.least)
-            for start in range(0, len(query), PAIRS):
-                q, x = query[start : start + PAIRS], row[start : start + PAIRS]
-                score = (block.matrix[q] * matrix[x]).sum(axis=1)
-                for place in range(block.windows.shape[1]):
-                    window = block.windows[q, place]
-                    there = np.flatnonzero(window < len(block.keys))
-                    window, own_score = window[there], score[there]
-                    fits = (own_score >= low[window]) & (own_score <= high[window]) & (own_score >= best.least[window])
-                    at = there[fits]
+            summary = levels(*(as_matrix(batch.column(c), FINEST, float) for c in ("means", "deviations")))
+            start = 0
+            while start < len(matrix):
+                part = slice(start, start + step)
+                of_part = [(means[part], deviations[part]) for means, deviations in summary]
+                query, row = candidates(block, of_part, norms[part], labels[part], best.least)
+                scores = products(block, matrix[part], norms[part], query, row)
+                for first in range(0, len(query), PAIRS):
+                    few = slice(first, first + PAIRS)
+                    q, x, score = query[few], row[few] + start, scores[few]
+                    windows = block.windows[q]
+                    least = np.append(best.least, np.inf)
+                    own = score[:, None]
+                    at, place = np.nonzero((own >= low[windows]) & (own <= high[windows]) & (own >= least[windows]))
                     if len(at):
-                        best.add(*expanded(block, lists, q[at], x[at], block.windows[q[at], place], score[at]))
+                        best.add(*expanded(block, batch.column("ids"), q[at], x[at], windows[at, place], score[at]))
+                start, step = start + step, min(step * FANOUT, ROWS[1])
         window, score, ids = best.rows
         yield pa.RecordBatch.from_arrays(
             [pa.array(c) for c in (block.queries[owner[window]], block.keys[window], ids, score)],
@@ -199,13 +209,12 @@ def expanded(block: Block, lists: pa.ListArray, q, x, window, score) -> tuple[np
     return np.repeat(window, sizes)[others], np.repeat(score, sizes)[others], ids[others]
 
 
-def candidates(block: Block, stored_levels, matrix: np.ndarray, labels: np.ndarray, least: np.ndarray):
+def candidates(block: Block, summary, norms: np.ndarray, labels: np.ndarray, least: np.ndarray):
     """Pairs of query and row that the bounds of all levels leave open."""
     alive = (block.labels[:, None] == labels[None, :]) == block.same
-    floor = np.maximum(block.low, np.append(least, np.inf))[block.windows]
-    ceiling = block.high[block.windows]
-    norms = np.sqrt((matrix.astype(float) ** 2).sum(axis=1))
-    for (means, deviations), (others, spreads) in zip(block.levels, stored_levels):
+    floor = np.maximum(block.low, np.append(least, np.inf))[block.windows].min(axis=1)[:, None]
+    ceiling = block.high[block.windows].max(axis=1)[:, None]
+    for (means, deviations), (others, spreads) in zip(block.levels, summary):
         rows, columns = np.flatnonzero(alive.any(axis=1)), np.flatnonzero(alive.any(axis=0))
         if not len(rows):
             break
@@ -213,13 +222,27 @@ def candidates(block: Block, stored_levels, matrix: np.ndarray, labels: np.ndarr
         centre = (length * means[rows]) @ others[columns].T
         radius = (length * deviations[rows]) @ spreads[columns].T
         radius += 1e-9 * (np.outer(block.norms[rows], norms[columns]) + 1)  # rounding of the double sums
-        open_ = np.zeros(centre.shape, bool)
-        for place in range(block.windows.shape[1]):
-            open_ |= (centre + radius >= floor[rows, place][:, None]) & (centre - radius <= ceiling[rows, place][:, None])
+        open_ = centre + radius >= floor[rows]
+        if not block.same:
+            open_ &= centre - radius <= ceiling[rows]
         alive[np.ix_(rows, columns)] &= open_
     return np.nonzero(alive)
 
 
+def products(block: Block, matrix: np.ndarray, norms: np.ndarray, query: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Exact scores of pairs: many at once by doubles, as long as these hold all sums, else one by one."""
+    rows, columns = np.bincount(query, minlength=1) > 0, np.bincount(row, minlength=1) > 0
+    queries, entries_ = np.flatnonzero(rows), np.flatnonzero(columns)
+    if not len(query):
+        return np.zeros(0, np.int64)
+    greatest = block.norms[queries].max() * norms[entries_].max()
+    if len(query) * DENSE >= len(queries) * len(entries_) and greatest < EXACT:
+        score = block.matrix[queries].astype(float) @ matrix[entries_].astype(float).T
+        return score[(np.cumsum(rows) - 1)[query], (np.cumsum(columns) - 1)[row]].astype(np.int64)
+    parts = (slice(first, first + PAIRS) for first in range(0, len(query), PAIRS))
+    return np.concatenate([(block.matrix[query[few]] * matrix[row[few]]).sum(axis=1) for few in parts])
+
+
 def merged(found: DataFrame, k: int) -> DataFrame:
     """The k best of each window over all tasks."""
     order = Window.partitionBy("query", "window").orderBy(F.desc("score"), "id")

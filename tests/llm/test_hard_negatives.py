@@ -6,6 +6,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rivermark.llm import hard_negatives
@@ -82,3 +83,23 @@ def test_bounds_hold_on_every_level():
     assert [w for w, _ in widths] == [1, 4, 16] and widths[0][1] > widths[1][1] > widths[2][1]
     whole = hard_negatives.summaries(a, 4)
     assert np.allclose(hard_negatives.coarser(*hard_negatives.summaries(a, 16)), whole)
+
+
+def test_entries_are_compared_in_parts_and_scored_exactly(monkeypatch):
+    rng = np.random.default_rng(7)
+    seen, whole = [], hard_negatives.candidates
+    monkeypatch.setattr(hard_negatives, "candidates", lambda *a: seen.append(len(a[3])) or whole(*a))
+    for size in (300, 2**28):  # sums that doubles hold, and others
+        queries, matrix = rng.integers(-size, size, (9, 32)), rng.integers(-size, size, (5000, 32))
+        block = hard_negatives.Block(np.arange(9), queries, [1] * 9, np.full(9, hard_negatives.NOTHING), 6)
+        lists = [pa.array(list(x)) for x in (matrix, *hard_negatives.summaries(matrix, hard_negatives.FINEST))]
+        ids = pa.array([[n] for n in range(5000)])
+        batch = pa.RecordBatch.from_arrays(
+            [lists[0], pa.array([1] * 5000), ids, *lists[1:]], names=["vector", "label", "ids", "means", "deviations"]
+        )
+        shared = type("Shared", (), {"value": block})
+        (got,) = hard_negatives.scan(shared)([batch])
+        exact = queries @ matrix.T
+        want = sorted((q, int(exact[q, n]), int(n)) for q in range(9) for n in np.argsort(-exact[q], kind="stable")[:6])
+        assert sorted(zip(*(got.column(c).to_pylist() for c in ("query", "score", "id")))) == want
+    assert max(seen) <= hard_negatives.ROWS[1] and seen[0] == hard_negatives.ROWS[0]
