@@ -58,7 +58,8 @@ def upsert(base: DataFrame, changes: DataFrame, keys: list[str], order: list[str
     """``base`` (unique by key) with ``changes`` applied, newest by ``order``.
 
     The changes are reduced to one row per key and meet the base in one full
-    join, which reads either side once and shuffles the base once at most. Of
+    join, which reads either side once and shuffles it once at most: the changes are
+    grouped by the struct they are joined on. Of
     two versions the one that is greater by ``order`` stays, ties by the other
     columns; applying the same changes twice gives the same table.
     """
@@ -66,8 +67,8 @@ def upsert(base: DataFrame, changes: DataFrame, keys: list[str], order: list[str
     ranked = [*order, *(c for c in columns if c not in keys and c not in order)]
     version = F.struct(*ranked)
     stored = base.select(F.struct(*keys).alias("_key"), version.alias("_stored"))
-    newer = latest(changes.select(*columns), keys, order)
-    newer = newer.select(F.struct(*keys).alias("_key"), version.alias("_newer"))
+    newer = changes.select(F.struct(*keys).alias("_key"), version.alias("_newer"))
+    newer = latest(newer, ["_key"], ["_newer"] if ranked else None)
     kept = F.when(F.col("_stored").isNull() | (F.col("_newer") > F.col("_stored")), F.col("_newer"))
     rows = stored.join(newer, "_key", "full").select("_key", F.coalesce(kept, "_stored").alias("_row"))
     return rows.select(*[F.col(f"_key.{c}") if c in keys else F.col(f"_row.{c}") for c in columns])

@@ -41,13 +41,20 @@ def kept_partials(
 ) -> Sink:
     """Writes a batch to the table by ``inner``, then the partials of the days it touched to ``root``.
 
-    Both pass over a batch they have applied, so one that failed between them is completed when it runs again.
+    Both pass over a batch they have applied, so one that failed between them is completed when it runs again, and one whose
+    partials are stored is not read.
     """
 
     def sink(rows: DataFrame, query_id: str, batch_id: int) -> None:
         spark = rows.sparkSession
-        days = versions.touched(rows, versions.part_of(day, period))
-        inner(rows, query_id, batch_id)
+        if versions.applied(spark, root, query_id, batch_id):
+            return
+        batch = rows.persist()
+        try:
+            days = versions.touched(batch, versions.part_of(day, period))
+            inner(batch, query_id, batch_id)
+        finally:
+            batch.unpersist()
         stored = versions.part_rows(spark, table, rows.schema, days)
         versions.replace_parts(partials(stored, period), root, query_id, batch_id)
 

@@ -69,6 +69,11 @@ def marks_of(entries: list[Row]) -> dict[str, int]:
     return {r.consulta: r.lote for r in entries if r.dia is None}
 
 
+def applied(spark: SparkSession, root: str, query_id: str, batch_id: int) -> bool:
+    """True when the table holds this batch of the query."""
+    return marks_of(index(spark, root)).get(query_id, -1) >= batch_id
+
+
 def _folders(entries: list[Row]) -> dict[str, str]:
     return {r.dia: r.pasta for r in entries if r.dia is not None}
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import rows_of
+from conftest import plan_of, rows_of
 from rivermark.operators import keyed
 
 SCHEMA = "id string, versao int, valor double"
@@ -82,3 +82,13 @@ def test_reconcile_counts_rows_and_absent_keys(spark):
     assert rows_of(keyed.reconcile(left, right, ["id"], ("l", "r"))) == [("l", 3, 2), ("r", 3, 1)]
     empty = left.limit(0)
     assert rows_of(keyed.reconcile(empty, empty, ["id"], ("l", "r"))) == [("l", 0, 0), ("r", 0, 0)]
+
+
+def test_upsert_shuffles_the_changes_once(spark):
+    base = spark.createDataFrame([(1, 1, "a"), (None, 1, "b")], "id long, n int, v string")
+    changes = spark.createDataFrame([(1, 2, "c"), (1, 0, "d"), (None, 3, "e"), (2, 1, None)], base.schema)
+    rows = keyed.upsert(base, changes, ["id"], ["n"])
+    assert plan_of(rows).split("\n\n")[0].count("Exchange") == 2
+    assert rows_of(rows) == [(1, 2, "c"), (2, 1, None), (None, 3, "e")]
+    only_keys = keyed.upsert(base.select("id"), changes.select("id"), ["id"], [])
+    assert rows_of(only_keys) == [(1,), (2,), (None,)]

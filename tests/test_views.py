@@ -40,6 +40,16 @@ def test_partials_of_touched_days_replace_the_old_ones(spark, tmp_path):
     assert len(parts.inputFiles()) == 3 and not any("/s/" in f for f in parts.inputFiles())
 
 
+def test_a_batch_whose_partials_are_stored_is_not_read(spark, tmp_path):
+    root, schema = str(tmp_path), "id string, lead_id string, started_at timestamp, is_active boolean"
+    rows = spark.createDataFrame([("s1", "l1", datetime(2024, 1, 1), True), ("s2", "l1", datetime(2024, 1, 2), False)], schema)
+    inner = versions.upsert_sink(f"{root}/s", ["id"], ["started_at"], "started_at")
+    sink = incremental.kept_partials(inner, f"{root}/s", f"{root}/p", "started_at", incremental.session_partials)
+    sink(rows, "q", 0)
+    sink(rows.where(F.raise_error(F.col("id")).isNull()), "q", 0)
+    assert rows_of(incremental.stored_partials(spark, f"{root}/p", incremental.SESSION_PARTS)) == [("l1", 1, 0), ("l1", 1, 1)]
+
+
 def test_the_index_prunes_buckets_and_finds_what_a_scan_finds(spark, tmp_path):
     words = "der die das Für für-die of THE the, of".split()
     texts = [" ".join(words[(n * k) % len(words)] for k in range(1, 9)) for n in range(60)] + [None, "", "…"]
