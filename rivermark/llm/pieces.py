@@ -1,9 +1,9 @@
 """SentencePiece encoding and decoding by shared-prefix Viterbi.
 
-A text is cut into marked words: a run of spaces (written as U+2581 in pieces) with
-the characters after it; no piece reaches across its start. The distinct words of a batch are sorted,
-which is a trie walked depth-first: neighbours share their common prefix, and the
-forward states up to its end are kept, so every prefix is scored once.
+A text is cut into words wherever no piece holds the two characters side by side, as at the start of a
+run of spaces (written as U+2581 in pieces); so no piece reaches across a cut. The distinct words of a batch
+that are not known yet are sorted, which is a trie walked depth-first: neighbours share their common prefix,
+and the forward states up to its end are kept, so every prefix is scored once.
 
 The forward state of a prefix is the last piece of its best segmentation. For a
 unigram model that is the piece with the best sum of scores. For a BPE model it
@@ -18,13 +18,14 @@ and long words included). Null stays null; the empty text has no ids.
 
 Models need byte pieces, no normalisation rules, and marks before words.
 The vocabulary, which is of fixed size, is sent to the executors; texts are encoded row by row
-without a shuffle, and a worker keeps about ``CACHED`` words with their ids and as many tested pairs.
+without a shuffle, and a worker keeps about ``CACHED`` words, of ``LONG`` characters on average at most, with
+their ids and as many tested pairs. Of too many words the half met in most batches stays.
 """
 
 from __future__ import annotations
 
-import re
 from hashlib import sha256
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,18 +35,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivermark.llm.rows import col, free_name
-from rivermark.llm.spans import slices
+from rivermark.llm.spans import slices, text_bytes
 
 MARK = "▁"
-LITERAL = f"{MARK}{MARK}"  # in the place of a word: the character itself
-CUT = re.compile(f" *[^ {MARK}]+| +|{MARK}")
 CACHED = 300_000
+LONG = 64  # characters; longer words are not kept when there is too much
+KINDS = 1024  # of characters; more characters than that share kinds, which only makes fewer cuts
 NORMAL, BYTE = 1, 6
 UNIGRAM, BPE = 1, 2
 
 
-def escape(characters: set[str]) -> str:
-    return "".join(map(re.escape, sorted(characters)))
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all ranges, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
 class Vocabulary:
@@ -64,15 +67,20 @@ class Vocabulary:
         self.unknown = min(self.scores.values(), default=0.0) - 10
         single = {n: bytes([b]) for b, n in byte.items()}
         text = lambda t, sort: t.replace(MARK, " ").encode() if sort == NORMAL else b""
-        letters = {c for t in self.ids for c in t if c.isalpha()}
-        joined = {t[n] for t in self.ids for n in range(1, len(t)) if t[n - 1] in letters}
-        marks = {c for t in self.ids for c in t} - letters - joined - {MARK}
-        self.edge = re.compile(f"(?<=[{escape(letters)}])(?=[{escape(marks)}])") if letters and marks else None
         self.content = [single.get(n, text(t, sort)) for n, (t, _, sort) in enumerate(pieces)]
 
-    def cut(self, word: str) -> list[str]:
-        """Parts that no piece joins: no piece holds such a mark right after a letter."""
-        return self.edge.split(word) if self.edge else [word]
+    def joins(self) -> tuple[np.ndarray, np.ndarray]:
+        """The kind of every character (0: in no piece; U+2581 is written as a space), and
+        whether some piece holds a character of one kind right before one of another."""
+        others = sorted({c for t in self.ids for c in t} - {MARK, " "})
+        kind = {c: 2 + n % (KINDS - 2) for n, c in enumerate(others)} | {MARK: 1}
+        kinds, joined = np.zeros(0x110000, np.uint16), np.zeros((KINDS, KINDS), bool)
+        for c, n in kind.items():
+            kinds[ord(" " if c == MARK else c)] = n
+        for left, right in {t[n : n + 2] for t in self.ids for n in range(len(t) - 1)}:
+            joined[kind.get(left, 0), kind.get(right, 0)] = True
+        joined[0], joined[:, 0] = False, False
+        return kinds, joined
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -99,15 +107,28 @@ class Codec:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.content = pa.array(vocabulary.content, pa.large_binary())
-        self.forget()
+        self.kinds, self.joined = vocabulary.joins()
+        self.known: dict[str, int] = {}  # places in the next three
+        self.starts, self.sizes, self.uses = (np.zeros(0, np.int64) for _ in range(3))
+        self.flat, self.characters = np.zeros(0, np.int32), 0
+        self.forget_tests()
 
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat: list[np.ndarray] = []
-        self.sizes = np.zeros(0, np.int64)
+    def forget_tests(self) -> None:
         self.tested: dict[str, dict[str, bool]] = {}
         self.tests = 0
 
+    def forget_words(self) -> None:
+        """Keeps the half met in most batches, of equals the latest; what was met long ago counts less each time."""
+        words = list(self.known)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        keep = np.argsort(np.where(lengths <= LONG, self.uses, -1), kind="stable")[-(CACHED // 2) :]
+        keep = np.sort(keep[lengths[keep] <= LONG])
+        self.known = {words[n]: place for place, n in enumerate(keep.tolist())}
+        self.characters = int(lengths[keep].sum())
+        self.flat = self.flat[ranges(self.starts[keep], self.sizes[keep])]
+        self.sizes, self.uses = self.sizes[keep], self.uses[keep] // 2
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
     def merged(self, text: str) -> list[str]:
         """The BPE merges of a short text: the best pair first, the leftmost of equals."""
         parts, scores = list(text), self.vocabulary.scores
@@ -186,51 +207,59 @@ class Codec:
             before = word
         return out
 
-    def words(self, text: str) -> list[str]:
-        """Words without their (first) mark; one that has none begins with U+2581."""
-        if not text:
-            return []
-        if "  " not in text and MARK not in text and text[0] != " " and text[-1] != " ":
-            return text.split(" ")
-        cut = CUT.findall(" " + text)
-        return [LITERAL if w == MARK else w[1:] if w[0] == " " else MARK + w for w in cut]
-
-    def learn(self, words: set[str]) -> None:
-        """Segments words that are not known yet, in sorted order."""
-        marked = lambda w: w[1:] if w[:1] == MARK else MARK + w.replace(" ", MARK)
-        order = [(marked(word), word) for word in words if word != LITERAL]
-        parts = [self.vocabulary.cut(mark) for mark, _ in order]
-        known = sorted({part for own in parts for part in own})
-        found = dict(zip(known, self.segment(known)))
-        ids = [found[own[0]] if len(own) == 1 else [n for part in own for n in found[part]] for own in parts]
-        order = [word for _, word in order]
-        if LITERAL in words:
-            order.append(LITERAL)
-            ids.append([self.vocabulary.bytes[b] for b in MARK.encode()])
-        for word in order:
+    def words(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The words of all texts, and the places where those of each text begin and end."""
+        raw, cuts = text_bytes(texts)
+        some = np.diff(cuts) > 0
+        raw = np.insert(raw, cuts[:-1][some], ord(" "))
+        cuts = cuts + np.concatenate([[0], np.cumsum(some)])
+        data = raw.tobytes()
+        kinds = self.kinds[np.frombuffer(data.decode().encode("utf-32-le"), np.uint32)]
+        starts = np.flatnonzero((raw & 0xC0) != 0x80)
+        begins = np.ones(len(starts), bool)
+        begins[1:] = ~self.joined[kinds[:-1], kinds[1:]]
+        begins[np.searchsorted(starts, cuts[:-1][some])] = True
+        starts = starts[begins]
+        offsets = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
+        words = pa.LargeStringArray.from_buffers(len(starts), offsets, pa.py_buffer(data))
+        return words, np.searchsorted(starts, cuts)
+
+    def learn(self, words: list[str]) -> None:
+        """Segments words that are not known yet, in sorted order. A literal U+2581 is a word of its own."""
+        words = sorted(words)
+        ids = self.segment([word.replace(" ", MARK) for word in words])
+        for n, word in enumerate(words):
             self.known[word] = len(self.known)
-        self.flat.append(np.array([n for one in ids for n in one], np.int32))
-        self.sizes = np.concatenate([self.sizes, np.array([len(one) for one in ids], np.int64)])
+            if word == MARK:
+                ids[n] = [self.vocabulary.bytes[b] for b in MARK.encode()]
+        self.characters += sum(map(len, words))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(sizes) - sizes)
+        self.sizes = np.append(self.sizes, sizes)
+        self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(ids), np.int32))
+        self.uses = np.append(self.uses, np.zeros(len(ids), np.int64))
 
     def encode(self, texts: pa.Array) -> pa.ListArray:
-        if len(self.known) > CACHED or self.tests > CACHED:
-            self.forget()
-        strings = pc.fill_null(texts, "").to_pylist()
-        words = [self.words(text) for text in strings]
-        new = set().union(*words) - self.known.keys()
-        if new:
+        if len(self.known) > CACHED or self.characters > CACHED * LONG:
+            self.forget_words()
+        if self.tests > CACHED:
+            self.forget_tests()
+        words, first = self.words(texts)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        place = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        missing = np.flatnonzero(place < 0)
+        if len(missing):
+            new = [distinct[n] for n in missing]
             self.learn(new)
-        known, flat = self.known, np.concatenate(self.flat) if self.flat else np.zeros(0, np.int32)
-        self.flat = [flat]
-        which = np.array([known[word] for text in words for word in text], np.int64)
-        counts = np.array([len(text) for text in words], np.int64)
-        sizes = self.sizes[which] if len(which) else which
-        starts = (np.cumsum(self.sizes) - self.sizes)[which] if len(which) else which
-        ends = np.cumsum(sizes)
-        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
-        cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+            place[missing] = [self.known[word] for word in new]
+        self.uses[place] += 1
+        which = place[coded.indices.to_numpy()]
+        sizes = self.sizes[which]
+        cuts = np.concatenate([[0], np.cumsum(sizes)])[first]
         mask = pc.is_null(texts) if texts.null_count else None
-        return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(flat[places]), mask=mask)
+        ids = self.flat[ranges(self.starts[which], sizes)]
+        return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids), mask=mask)
 
     def decode(self, ids: pa.ListArray) -> pa.Array:
         """Texts; bytes that are no UTF-8 become U+FFFD, ids without a piece are an error."""

@@ -93,6 +93,35 @@ def test_a_shared_prefix_is_scored_once():
     assert len(steps) == len(set(steps)) == len("▁thereby") + 1
 
 
+def test_a_word_beside_other_marks_is_not_segmented_again():
+    codec = pieces.Codec(pieces.Vocabulary.read(PIECES))
+    given, segment = [], codec.segment
+    codec.segment = lambda words: (given.extend(words), segment(words))[1]
+    for text in ("the house, there.", "there, the\nhouse\n\nthere.\nthe."):
+        codec.encode(pa.array([text]))
+    assert len(given) == len(set(given)) and {"▁the", "▁house", "▁there"} < set(given)
+
+
+def test_words_met_in_most_batches_stay_known(monkeypatch, library):
+    monkeypatch.setattr(pieces, "CACHED", 40)
+    codec = pieces.Codec(pieces.Vocabulary.read(PIECES))
+    given, segment = [], codec.segment
+    codec.segment = lambda words: (given.extend(words), segment(words))[1]
+    for n in range(60):
+        texts = [f"often {prose(n, 12, 10**6)}", "y" * 3000 * (n % 2), f"often 字▁ {n}"]
+        ids = codec.encode(pa.array(texts))
+        assert ids.to_pylist()[:2] == library.encode(texts[:2]) and codec.decode(ids).to_pylist() == texts
+    assert given.count("▁often") == 1 and len(codec.known) < 150
+    assert codec.characters == sum(map(len, codec.known)) < 40 * pieces.LONG + 10_000
+
+
+@pytest.mark.parametrize("kinds", [3, 20])
+def test_characters_that_share_kinds_leave_the_ids_alone(monkeypatch, library, kinds):
+    monkeypatch.setattr(pieces, "KINDS", kinds)
+    texts = odd_texts()
+    assert pieces.Codec(pieces.Vocabulary.read(PIECES)).encode(pa.array(texts)).to_pylist() == library.encode(texts)
+
+
 def test_round_trip_of_a_frame(spark):
     rows = [(1, "a▁b ▁"), (2, None), (2, ""), (None, "x"), (3, "long " * 50_000), (3, "long " * 50_000)]
     frame = documents(spark, rows)
