@@ -38,7 +38,7 @@ from rivermark.llm.rows import col, free_name
 from rivermark.llm.spans import slices, text_bytes
 
 MARK = "▁"
-CACHED = 300_000
+CACHED = 150_000
 LONG = 64  # characters; longer words are not kept when there is too much
 KINDS = 1024  # of characters; more characters than that share kinds, which only makes fewer cuts
 NORMAL, BYTE = 1, 6
