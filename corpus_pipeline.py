@@ -51,8 +51,7 @@ def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with token ids, and whether these decode to the text."""
     prepare(spark)
     vocabulary = pieces.Vocabulary.read(PIECES)
-    rows, ids = pieces.encoded(docs, vocabulary)
-    rows, text = pieces.decoded(rows, vocabulary, ids)
+    rows, ids, text = pieces.encoded_and_decoded(docs, vocabulary)
     return rows.withColumn(text, col(text).eqNullSafe(F.col("text"))).withColumnRenamed(text, f"{ids}_exact")
 
 

@@ -18,7 +18,7 @@ and long words included). Null stays null; the empty text has no ids.
 
 Models need byte pieces, no normalisation rules, and marks before words.
 The vocabulary, which is of fixed size, is sent to the executors; texts are encoded row by row
-without a shuffle, and a worker keeps about ``CACHED`` words, of ``LONG`` characters on average at most, with
+without a shuffle, in parts of about ``PART`` bytes, and one worker of a task also decodes them. It keeps about ``CACHED`` words, of ``LONG`` characters on average at most, with
 their ids and as many tested pairs. Of too many words the half met in most batches stays.
 """
 
@@ -39,10 +39,12 @@ from rivermark.llm.spans import slices, text_bytes
 
 MARK = "▁"
 CACHED = 150_000
+PART = 1 << 18  # bytes of text that are encoded and decoded at once; their arrays are many times as large
 LONG = 64  # characters; longer words are not kept when there is too much
 KINDS = 1024  # of characters; more characters than that share kinds, which only makes fewer cuts
 NORMAL, BYTE = 1, 6
 UNIGRAM, BPE = 1, 2
+IDS = T.ArrayType(T.IntegerType())
 
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -264,7 +266,9 @@ class Codec:
     def decode(self, ids: pa.ListArray) -> pa.Array:
         """Texts; bytes that are no UTF-8 become U+FFFD, ids without a piece are an error."""
         lists = ids.cast(pa.large_list(pa.int32()))
-        pieces = pa.LargeListArray.from_arrays(lists.offsets, self.content.take(lists.values))
+        cuts = lists.offsets.to_numpy()
+        values = lists.values[cuts[0] : cuts[-1]]
+        pieces = pa.LargeListArray.from_arrays(pa.array(cuts - cuts[0]), self.content.take(values))
         whole = pc.binary_join(pieces, pa.scalar(b"", pa.large_binary()))
         raw = [None if none else x for x, none in zip(whole.to_pylist(), pc.is_null(ids).to_pylist())]
         texts = [None if x is None else x.decode("utf-8", "replace") for x in raw]
@@ -282,36 +286,55 @@ def codec_of(shared, key: str) -> Codec:
     return _codecs[key]
 
 
-def with_column(documents: DataFrame, name: str, kind: T.DataType, source: str, make) -> DataFrame:
+def with_columns(documents: DataFrame, source: str, limit: int, added: dict[str, T.DataType], make) -> DataFrame:
+    """``documents`` with the columns that ``make`` gives for a part of the source column, row for row."""
+
     def run(batches):
         for batch in batches:
-            for part in slices(batch, source) if kind != T.StringType() else (batch,):
-                added = make(part.column(source))
-                yield pa.RecordBatch.from_arrays([*part.columns, added], names=[*part.schema.names, name])
+            for part in slices(batch, source, limit):
+                columns = [*part.columns, *make(part.column(source))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *added])
 
-    return documents.mapInArrow(run, T.StructType([*documents.schema.fields, T.StructField(name, kind)]))
+    return documents.mapInArrow(run, T.StructType([*documents.schema.fields, *(T.StructField(*x) for x in added.items())]))
 
 
 def encoded(documents: DataFrame, vocabulary: Vocabulary, text_column: str = "text") -> tuple[DataFrame, str]:
     """``documents`` with one more column, and its name: the ids of the text."""
     name, shared = free_name(documents, "ids"), documents.sparkSession.sparkContext.broadcast(vocabulary)
-    ids, key = T.ArrayType(T.IntegerType()), vocabulary.digest
-    return with_column(documents, name, ids, text_column, lambda texts: codec_of(shared, key).encode(texts)), name
+    key = vocabulary.digest
+    make = lambda texts: [codec_of(shared, key).encode(texts)]
+    return with_columns(documents, text_column, PART, {name: IDS}, make), name
 
 
 def decoded(documents: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids") -> tuple[DataFrame, str]:
     """``documents`` with one more column, and its name: the text of the ids."""
     name, shared = free_name(documents, "decoded"), documents.sparkSession.sparkContext.broadcast(vocabulary)
     key = vocabulary.digest
-    return with_column(documents, name, T.StringType(), ids_column, lambda ids: codec_of(shared, key).decode(ids)), name
+    make = lambda ids: [codec_of(shared, key).decode(ids)]
+    return with_columns(documents, ids_column, PART // 4, {name: T.StringType()}, make), name
+
+
+def encoded_and_decoded(
+    documents: DataFrame, vocabulary: Vocabulary, text_column: str = "text"
+) -> tuple[DataFrame, str, str]:
+    """``documents`` with two more columns, and their names: the ids of the text, and the text that these ids decode to.
+    Both are made by one worker, so a task needs no second one with a vocabulary and words of its own."""
+    ids, shared = free_name(documents, "ids"), documents.sparkSession.sparkContext.broadcast(vocabulary)
+    text, key = free_name(documents, "decoded"), vocabulary.digest
+
+    def make(texts):
+        codec = codec_of(shared, key)
+        found = codec.encode(texts)
+        return found, codec.decode(found)
+
+    return with_columns(documents, text_column, PART, {ids: IDS, text: T.StringType()}, make), ids, text
 
 
 def sentencepiece(documents: DataFrame, model: str) -> DataFrame:
     """Per row: id, ids of the text, their number and digest, and whether decoding gives the text back."""
     vocabulary = Vocabulary.read(model)
     rows = documents.select("doc_id", F.col("text").cast("string").alias("text"))
-    rows, ids = encoded(rows, vocabulary)
-    rows, text = decoded(rows, vocabulary, ids)
+    rows, ids, text = encoded_and_decoded(rows, vocabulary)
     return rows.select(
         "doc_id",
         F.coalesce(F.size(col(ids)), F.lit(0)).cast("long").alias("n_ids"),

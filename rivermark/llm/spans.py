@@ -36,8 +36,10 @@ LETTERS = byte_class((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch with about ``limit`` bytes of text each, one row at least."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    """Consecutive parts of a batch with about ``limit`` bytes of text (or members of lists) each, one row at least."""
+    values = batch.column(column)
+    length = pc.list_value_length if pa.types.is_nested(values.type) else pc.binary_length
+    sizes = np.cumsum(pc.fill_null(length(values), 0).to_numpy(zero_copy_only=False))
     start = 0
     while start < batch.num_rows:
         done = int(sizes[start - 1]) if start else 0

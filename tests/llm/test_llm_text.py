@@ -11,9 +11,11 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from rivermark.llm import decontaminate, line_dedup, near_dup, pieces
 from rivermark.llm.components import components
 from rivermark.llm.queries import PIECES
+from rivermark.llm.spans import slices
 
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, keep_lines int, line_key int, ids int, found int, score int, row_key int"
@@ -136,6 +138,34 @@ def test_round_trip_of_a_frame(spark):
     assert pieces.sentencepiece(frame.limit(0), PIECES).count() == 0
 
 
+def test_one_worker_of_a_task_encodes_and_decodes(spark):
+    rows = [(n, f"{prose(n, 30)}▁ {n}") for n in range(40)] + [(1, None), (2, ""), (3, "long " * 100_000)]
+    frame, vocabulary = documents(spark, rows).coalesce(1), pieces.Vocabulary.read(PIECES)
+    both, ids, text = pieces.encoded_and_decoded(frame, vocabulary)
+    coded, _ = pieces.encoded(frame, vocabulary)
+    back, _ = pieces.decoded(coded, vocabulary, ids)
+    assert both.columns == back.columns and both.collect() == back.collect()
+    assert both.where(~F.col(text).eqNullSafe(F.col("text"))).count() == 0
+    for made in (both, pieces.sentencepiece(frame, PIECES), corpus_pipeline.to_pieces(spark, frame, FOLDER)):
+        assert made._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_parts_of_a_batch_of_ids_are_decoded_alone():
+    codec, given = pieces.Codec(pieces.Vocabulary.read(PIECES)), []
+    texts = [f"{prose(n, 50)} {n}" for n in range(30)] + [None, "", "字" * 900, "a b"]
+    ids = codec.encode(pa.array(texts))
+
+    class Content:
+        def take(self, values, content=codec.content):
+            given.append(len(values))
+            return content.take(values)
+
+    codec.content = Content()
+    parts = [p.column("ids") for p in slices(pa.RecordBatch.from_arrays([ids], names=["ids"]), "ids", 500)]
+    assert [t for part in parts for t in codec.decode(part).to_pylist()] == texts
+    assert len(parts) > 5 and sum(given) == len(ids.values)
+
+
 # decontamination
 
 
